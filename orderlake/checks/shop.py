@@ -271,7 +271,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "currency": F.struct(F.concat(F.lit("CU"), _text("n_nationkey")).alias("isoCode")),
         "servicesSubTotalWithoutDiscounts": F.col("o_totalprice") * F.lit(0.3),
         "paymentStatus": F.lit("PAID"),
-        "servicesSubTotal": F.lit("0"),
+        "servicesSubTotal": F.col("o_totalprice") * F.lit(0.25),
         "site": F.when(
             F.col("c_acctbal") >= 0, F.struct(F.concat(F.col("region"), F.lit("-shop")).alias("uid"))
         ),

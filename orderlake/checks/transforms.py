@@ -571,7 +571,7 @@ select distinct e.code as order_number, e.entry_number as entries_entry_number,
   e.o_orderstatus = 'F' as product_registration, e.c_name as cs_code,
   cast(null as varchar) as bundle_ids,
   e.o_totalprice * 0.3::double as services_sub_total_without_discounts, 'PAID' as payment_status,
-  cast(null as varchar) as applied_coupons, '0' as services_sub_total,
+  cast(null as varchar) as applied_coupons, e.o_totalprice * 0.25::double as services_sub_total,
   cast(null as varchar) as utm_details, cast(null as varchar) as news_letter_subscription,
   e.o_totalprice as order_subtotal, e.o_totalprice * 0.1::double as order_total_discount,
   e.c_acctbal as delivery_cost, e.c_mktsegment = 'BUILDING' as delivery_address_is_business_user,

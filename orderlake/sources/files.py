@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from orderlake.operators.columns import quote
 from orderlake.schemas import order_schema
 
 CORRUPT = "_corrupt_record"
@@ -65,9 +66,8 @@ def read_csv_split_bad(
     """Rows that fit the schema, and the raw text of those that do not.
 
     With `bad_path` the bad rows are appended there as JSON. Both frames are lazy over one scan
-    definition. Column pruning is off for this scan: a pruned parser would not look at the
-    columns it skips and count their bad rows as good. Quoted line breaks need `multiline`,
-    which makes each file one task; set it off for large files without them.
+    definition. Quoted line breaks need `multiline`, which makes each file one task; set it off
+    for large files without them.
     """
     rows = (
         spark.read.schema(StructType(schema.fields).add(CORRUPT, StringType()))
@@ -77,12 +77,17 @@ def read_csv_split_bad(
             multiLine=multiline,
             mode="PERMISSIVE",
             columnNameOfCorruptRecord=CORRUPT,
-            columnPruning=False,
         )
         .csv(path)
     )
-    good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record"))
+    # Only columns that a query reads are parsed, so a query of few columns would take rows with
+    # faults in the others for good. Tying the record to all columns (it takes no characters of
+    # them) makes every use of either frame parse whole rows.
+    everything = F.concat_ws("", *[F.col(quote(c)).cast("string") for c in schema.names])
+    corrupt = F.col(CORRUPT)
+    record = F.when(corrupt.isNotNull(), F.concat(corrupt, F.substring(everything, 1, 0)))
+    good = rows.filter(record.isNull()).drop(CORRUPT)
+    bad = rows.filter(record.isNotNull()).select(record.alias("record"))
     if bad_path is not None:
         bad.write.mode("append").json(bad_path)
     return good, bad
