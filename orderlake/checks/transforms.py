@@ -34,9 +34,9 @@ from orderlake.plans.silver_orders import (
     PROMOTION,
     cart_promotions,
     entry_promotions,
-    orders_silver,
-    promotion_counts,
+    land_documents,
     promotion_rows,
+    silver_lines,
 )
 from orderlake.schemas import FACT_OUTPUT, ORDER_LINE_KEYS
 from orderlake.sinks.tables import guarded
@@ -312,10 +312,10 @@ def split_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- joins ---------------------------------------------------------------------------------
 
 
-def _entries_and_counts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _entries_and_promotions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     documents = require_present(shop.documents(spark, sf_dir), ["entries"])
     entries = flatten(documents.select("code", "eventDate", "entries"))
-    return entries, promotion_counts(documents)
+    return entries, promotion_rows(documents)
 
 
 @check(
@@ -326,8 +326,8 @@ def _entries_and_counts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     + " and p.entry_number = e.entry_number and p.event_ts = e.event_ts",
 )
 def join_left_multikey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries, counts = _entries_and_counts(spark, sf_dir)
-    joined = left_join(entries, entry_promotions(counts), ["code", "entries_entryNumber", "eventDate"])
+    entries, promotions = _entries_and_promotions(spark, sf_dir)
+    joined = left_join(entries, entry_promotions(promotions), ["code", "entries_entryNumber", "eventDate"])
     return columns.project_renamed(
         joined,
         {
@@ -347,8 +347,8 @@ def join_left_multikey(spark: SparkSession, sf_dir: str) -> DataFrame:
     + " from entries e left join carts c on c.code = e.code",
 )
 def join_left_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries, counts = _entries_and_counts(spark, sf_dir)
-    joined = left_join(entries, cart_promotions(counts), ["code"], unique_right=True)
+    entries, promotions = _entries_and_promotions(spark, sf_dir)
+    joined = left_join(entries, cart_promotions(promotions), ["code"], unique_right=True)
     return joined.select(
         "code",
         F.col("entries_entryNumber").alias("entry_number"),
@@ -531,7 +531,7 @@ def entries_net_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def promotions_by_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = require_present(shop.documents(spark, sf_dir), ["entries"])
     return columns.project_renamed(
-        entry_promotions(promotion_counts(documents)),
+        entry_promotions(promotion_rows(documents)),
         {
             "code": "code",
             "eventDate": "event_date",
@@ -544,7 +544,7 @@ def promotions_by_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("cart_promotions", oracle.PROMOTIONS + "select code, cart_promotions from carts")
 def promotions_by_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = require_present(shop.documents(spark, sf_dir), ["entries"])
-    carts = cart_promotions(promotion_counts(documents))
+    carts = cart_promotions(promotion_rows(documents))
     return carts.select("code", F.array_join("cart_level_promotions", "|").alias("cart_promotions"))
 
 
@@ -612,8 +612,11 @@ where e.entry_number is not null and e.product is not null"""
 
 @check("orders_silver", _SILVER_SQL)
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 68 silver columns, distinct and guarded as the upsert sink takes them."""
-    rows = orders_silver(shop.documents(spark, sf_dir), "2024-01-05")
+    """All 68 silver columns, distinct and guarded as the upsert sink takes them.
+
+    The documents are landed as a columnar table first, as the job does.
+    """
+    rows = silver_lines(land_documents(shop.documents(spark, sf_dir)), "2024-01-05")
     rows = guarded(rows, ORDER_LINE_KEYS)
     return rows.withColumn("cart_level_promotions", F.array_join("cart_level_promotions", "|"))
 

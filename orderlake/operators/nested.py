@@ -6,6 +6,7 @@ Everything here is planned from `df.schema` on the driver; no job runs until an
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,27 +24,30 @@ def _is_exploded(t: DataType) -> bool:
     return isinstance(t, ArrayType) and isinstance(t.elementType, (StructType, ArrayType))
 
 
-def flatten(df: DataFrame, separator: str = "_") -> DataFrame:
+def flatten(df: DataFrame, separator: str = "_", keep: Sequence[str] = ()) -> DataFrame:
     """Open structs into `parent_child` columns and arrays of structs or arrays into rows.
 
     Runs level by level until only plain columns are left. Scalars, maps and arrays of scalars
     stay as they are. A null or empty array keeps one row of nulls; sibling arrays multiply.
     Plain columns keep their place, opened children follow in the order of their parents.
-    Two paths that would get one name are an error.
+    Two paths that would get one name are an error. Columns in `keep` are left as they are.
     """
     paths = {c: c for c in df.columns}
-    while any(_is_struct(f.dataType) or _is_exploded(f.dataType) for f in df.schema.fields):
-        df, paths = _open_level(df, paths, separator)
+    while any(
+        (_is_struct(f.dataType) or _is_exploded(f.dataType)) and f.name not in keep
+        for f in df.schema.fields
+    ):
+        df, paths = _open_level(df, paths, separator, keep)
     return df
 
 
 def _open_level(
-    df: DataFrame, paths: dict[str, str], separator: str
+    df: DataFrame, paths: dict[str, str], separator: str, keep: Sequence[str]
 ) -> tuple[DataFrame, dict[str, str]]:
     # Spark takes one generator per projection, so each array is its own step. Arrays of
     # arrays lose one level here and stay in place for the next round.
     for field in df.schema.fields:
-        if _is_exploded(field.dataType):
+        if _is_exploded(field.dataType) and field.name not in keep:
             df = df.select(
                 *[
                     F.explode_outer(quote(c)).alias(c) if c == field.name else F.col(quote(c))
@@ -57,7 +61,7 @@ def _open_level(
     opened_paths: list[tuple[str, str]] = []
     for field in df.schema.fields:
         name = field.name
-        if not _is_struct(field.dataType):
+        if not _is_struct(field.dataType) or name in keep:
             kept.append(F.col(quote(name)))
             kept_paths.append((name, paths[name]))
             continue
