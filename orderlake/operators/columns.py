@@ -42,7 +42,13 @@ def drop(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def add_audit(df: DataFrame, name: str, value: str | datetime) -> DataFrame:
-    """Add one constant column; a `datetime` gives a timestamp column."""
+    """Add one constant column; a `datetime` gives a timestamp column.
+
+    A `datetime` without zone is a wall clock time of the session zone, as parsed text is, and
+    not of the zone that the driver's machine happens to have.
+    """
+    if isinstance(value, datetime) and value.tzinfo is None:
+        return df.withColumn(name, F.lit(value.isoformat(sep=" ")).cast("timestamp"))
     return df.withColumn(name, F.lit(value))
 
 

@@ -76,8 +76,10 @@ def guarded(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def replace_slice(df: DataFrame, table: str, path: str, slice_values: Mapping[str, int | str]) -> None:
     """Replace the one partition named by `slice_values` (such as year, month and day).
 
-    A row outside the slice fails the write before anything is replaced. Other partitions stay
-    as they are; no rows at all leave the slice empty.
+    A row outside the slice fails the write, and a failed write replaces nothing: the new files
+    take the place of the old ones when the job commits. (`INSERT OVERWRITE` of a named partition
+    would delete first and then compute.) Other partitions stay as they are; no rows at all leave
+    the slice empty.
     """
     spark = df.sparkSession
     parts = list(slice_values)
@@ -91,13 +93,11 @@ def replace_slice(df: DataFrame, table: str, path: str, slice_values: Mapping[st
     if not attach_table(spark, table, path, parts, df.schema):
         overwrite_table(checked, table, path, parts)
         return
+    if checked.isEmpty():
+        _empty_partition(spark, table, slice_values)
+        return
     add_columns(spark, table, df.schema)
-    schema = spark.table(table).schema
-    columns = [f for f in schema.fields if f.name not in parts]
-    rows = _with_columns_of(checked, schema).select(
-        *[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in columns]
-    )
-    _insert_overwrite(table, slice_values, rows)
+    _overwrite_partitions(checked, table, path, parts)
 
 
 def upsert_table(
@@ -132,17 +132,16 @@ def upsert_table(
     )
 
     add_columns(spark, table, source.schema)
-    writer = _with_columns_of(result, spark.table(table).schema).write.mode("overwrite")
-    if touched is not None:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(path)
-    spark.catalog.refreshTable(table)
-    if parts:
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    if touched is not None:
-        _empty_left_partitions(spark, table, touched, result, parts)
+    if touched is None:
+        writer = _in_table_schema(result, table).write.mode("overwrite")
+        (writer.partitionBy(*parts) if parts else writer).parquet(path)
+        refresh_table(spark, table, parts)
+        return
+    _overwrite_partitions(result, table, path, parts)
+    filled = {tuple(r) for r in result.select(*parts).distinct().collect()}
+    for values in set(touched) - filled:
+        # all rows have moved to other partitions, so nothing was written over these
+        _empty_partition(spark, table, dict(zip(parts, values)))
 
 
 def quarantine_missing(df: DataFrame, columns: Sequence[str], path: str) -> DataFrame:
@@ -188,6 +187,12 @@ def add_columns(spark: SparkSession, table: str, schema: StructType) -> None:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({StructType(new).toDDL()})")
 
 
+def _in_table_schema(df: DataFrame, table: str) -> DataFrame:
+    schema = df.sparkSession.table(table).schema
+    df = _with_columns_of(df, schema)
+    return df.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _with_columns_of(df: DataFrame, schema: StructType) -> DataFrame:
     missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in df.columns}
     return df.withColumns(missing) if missing else df
@@ -231,24 +236,29 @@ def _in_partitions(values: Sequence[tuple], parts: Sequence[str]) -> Column:
     )
 
 
-def _empty_left_partitions(
-    spark: SparkSession, table: str, touched: list[tuple], result: DataFrame, parts: list[str]
-) -> None:
-    """Clear partitions whose rows have all moved to others: the dynamic overwrite keeps them."""
-    filled = {tuple(r) for r in result.select(*parts).distinct().collect()}
-    for values in set(touched) - filled:
-        spec = dict(zip(parts, values))
-        columns = [c for c in spark.table(table).columns if c not in parts]
-        _insert_overwrite(table, spec, spark.table(table).select(*columns).limit(0))
+def _overwrite_partitions(df: DataFrame, table: str, path: str, parts: Sequence[str]) -> None:
+    """Replace the partitions that the rows fall in, at the commit of the job."""
+    writer = _in_table_schema(df, table).write.mode("overwrite").partitionBy(*parts)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    refresh_table(df.sparkSession, table, parts)
 
 
-def _insert_overwrite(table: str, spec: Mapping[str, object], rows: DataFrame) -> None:
-    partition = ", ".join(f"{quote(c)} = {_literal(v)}" for c, v in spec.items())
-    rows.sparkSession.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT * FROM {{rows}}", rows=rows
+def _empty_partition(spark: SparkSession, table: str, values: Mapping[str, object]) -> None:
+    data = [f for f in spark.table(table).schema.fields if f.name not in values]
+    partition = ", ".join(f"{quote(c)} = {_literal(v)}" for c, v in values.items())
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT * FROM {{nothing}}",
+        nothing=spark.createDataFrame([], StructType(data)),
     )
 
 
+def refresh_table(spark: SparkSession, table: str, parts: Sequence[str]) -> None:
+    """Let the catalog see files that were written by path."""
+    spark.catalog.refreshTable(table)
+    if parts:
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+
 def _names(columns: Sequence[str]) -> str:
     return ", ".join(quote(c) for c in columns)
 

@@ -1,0 +1,236 @@
+import json
+from uuid import uuid4
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from orderlake.scratch import scratch_path
+from orderlake.sinks.tables import (
+    guarded_overwrite,
+    overwrite_table,
+    quarantine_missing,
+    replace_slice,
+    upsert_table,
+)
+from orderlake.sources.files import (
+    landing_path,
+    read_csv,
+    read_csv_inferred,
+    read_csv_split_bad,
+    read_json,
+    read_order_documents,
+    read_parquet,
+    read_path,
+)
+from orderlake.sources.tables import read_table
+
+
+def rows(df):
+    return sorted([tuple(r) for r in df.collect()], key=repr)
+
+
+@pytest.fixture
+def table():
+    return f"storage_tests.t_{uuid4().hex}"
+
+
+@pytest.fixture
+def path(tmp_path):
+    return str(tmp_path / "table")
+
+
+# --- sources -------------------------------------------------------------------------------
+
+
+def test_json_lines(spark, tmp_path):
+    for day, value in (("2024-01-05", 1), ("2024-01-06", 2)):
+        (tmp_path / "orders" / day).mkdir(parents=True)
+        (tmp_path / "orders" / day / "a.json").write_text(
+            json.dumps({"code": f"O{value}", "totalPrice": value, "entries": [{"entryNumber": value}]})
+        )
+    everything = landing_path(str(tmp_path), "orders")
+    assert rows(read_json(spark, everything).select("code")) == [("O1",), ("O2",)]
+    one_day = landing_path(str(tmp_path), "orders", "2024-01-06")
+    documents = read_order_documents(spark, one_day)
+    assert len(documents.columns) == 40
+    row = documents.select("code", "totalPrice", F.col("entries")[0]["entryNumber"], "status").first()
+    assert tuple(row) == ("O2", 2.0, 2, None)
+
+
+def test_csv_readers(spark, tmp_path):
+    file = tmp_path / "a.csv"
+    file.write_text("k;v;d\n1;1.5;2024-01-05\n2;;2024-01-06\n")
+    inferred = read_csv_inferred(spark, str(file), delimiter=";")
+    assert inferred.schema.simpleString() == "struct<k:int,v:double,d:date>"
+    plain = read_csv_inferred(spark, str(file), header=False, delimiter=";", infer_schema=False)
+    assert plain.count() == 3 and plain.columns == ["_c0", "_c1", "_c2"]
+    typed = read_csv(spark, str(file), {"header": "true", "delimiter": ";"}, "k bigint, v string, d string")
+    assert rows(typed) == [(1, "1.5", "2024-01-05"), (2, None, "2024-01-06")]
+
+
+def test_bad_csv_records(spark, tmp_path):
+    file = tmp_path / "a.csv"
+    file.write_text('k,v,t\n1,1.5,"two\nlines"\nx,2.5,bad key\n3,oops,bad value\n4,4.5,fine\n5,5.5,too,many\n')
+    schema = StructType.fromDDL("k int, v double, t string")
+    bad_path = str(tmp_path / "bad")
+    good, bad = read_csv_split_bad(spark, str(file), schema, bad_path=bad_path)
+    assert rows(good) == [(1, 1.5, "two\nlines"), (4, 4.5, "fine")]
+    # every narrower use sees the same split
+    assert rows(good.select("k")) == [(1,), (4,)]
+    assert good.count() == 2 and bad.count() == 3
+    assert rows(good.groupBy().count()) == [(2,)]
+    assert rows(bad) == [("3,oops,bad value",), ("5,5.5,too,many",), ("x,2.5,bad key",)]
+    assert rows(spark.read.json(bad_path)) == rows(bad)
+
+
+def test_columnar_scans_push_filters_and_prune(spark, path):
+    spark.range(10).selectExpr("id as k", "id * 2 as v", "named_struct('x', id, 'y', id) as s").write.parquet(path)
+    for df in (read_parquet(spark, path), read_path(spark, path)):
+        plan = df.filter("k > 3").select("s.x")._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThan(k,3)" in plan
+        assert "ReadSchema: struct<k:bigint,s:struct<x:bigint>>" in plan
+
+
+# --- overwrite -----------------------------------------------------------------------------
+
+
+def test_overwrite_with_another_schema(spark, table, path):
+    overwrite_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), table, path)
+    overwrite_table(spark.createDataFrame([(3, 1.5)], "k int, w double"), table, path)
+    assert read_table(spark, table).columns == ["k", "w"]
+    assert rows(read_table(spark, table)) == [(3, 1.5)]
+    with pytest.raises(ValueError):
+        overwrite_table(spark.range(1), table, path, schema_mode="other")
+
+
+def test_guarded_overwrite(spark, table, path):
+    first = spark.createDataFrame([(1, "a", "x")], "k int, p string, old string")
+    guarded_overwrite(first, table, path, ["k"], ["p"])
+    df = spark.createDataFrame(
+        [(1, "01"), (1, "01"), (2, "02"), (None, "01"), (3, None)], "k int, p string"
+    )
+    guarded_overwrite(df, table, path, ["k"], ["p"])
+    found = read_table(spark, table)
+    assert rows(found.select("k", "p")) == sorted([(1, "01"), (2, "02"), (3, None)], key=repr)
+    assert {r.old for r in found.collect()} == {None}
+    assert found.schema["p"].dataType.simpleString() == "string"
+
+
+# --- slice ---------------------------------------------------------------------------------
+
+DAYS = "k int, year int, month int, day int"
+
+
+def test_replace_slice(spark, table, path):
+    df = spark.createDataFrame(
+        [(1, 2023, 1, 5), (2, 2024, 1, 5), (3, 2024, 1, 6)], DAYS
+    )
+    day = {"year": 2024, "month": 1, "day": 5}
+    overwrite_table(df, table, path, list(day))
+    replace_slice(spark.createDataFrame([(7, 2024, 1, 5), (8, 2024, 1, 5)], DAYS), table, path, day)
+    expected = [(1, 2023, 1, 5), (3, 2024, 1, 6), (7, 2024, 1, 5), (8, 2024, 1, 5)]
+    assert rows(read_table(spark, table)) == expected
+
+    outside = spark.createDataFrame([(9, 2024, 1, 5), (9, 2023, 1, 5)], DAYS)
+    with pytest.raises(PySparkException, match="outside the slice"):
+        replace_slice(outside, table, path, day)
+    assert rows(read_table(spark, table)) == expected
+
+    replace_slice(df.filter("k > 100"), table, path, day)
+    assert rows(read_table(spark, table)) == [(1, 2023, 1, 5), (3, 2024, 1, 6)]
+
+    wider = spark.createDataFrame([("n", 2024, 1, 6, 4)], "note string, year int, month int, day int, k int")
+    replace_slice(wider, table, path, {"year": 2024, "month": 1, "day": 6})
+    assert rows(read_table(spark, table).select("k", "note", "year")) == sorted(
+        [(1, None, 2023), (4, "n", 2024)], key=repr
+    )
+
+
+def test_replace_slice_creates_the_table(spark, table, path):
+    replace_slice(spark.createDataFrame([(1, 2024, 1, 5)], DAYS), table, path, {"year": 2024, "month": 1, "day": 5})
+    assert rows(read_table(spark, table)) == [(1, 2024, 1, 5)]
+
+
+# --- upsert --------------------------------------------------------------------------------
+
+
+def test_upsert_table_partitioned(spark, table, path):
+    ddl = "k int, v string, c string"
+    first = spark.createDataFrame(
+        [(1, "a", "01"), (1, "a", "01"), (2, "b", "02"), (3, "c", "03"), (None, "n", "01")], ddl
+    )
+    upsert_table(first, table, path, ["k"], ["c"])
+    assert rows(read_table(spark, table)) == [(1, "a", "01"), (2, "b", "02"), (3, "c", "03")]
+    untouched = {f for f in read_table(spark, table).filter("c = '01'").inputFiles()}
+
+    # row 2 moves and leaves its partition empty, 4 is new, 3 gets a null; 01 is not touched
+    second = spark.createDataFrame(
+        [("x", 2, "b2", "03"), ("y", 4, "d", None), (None, 3, None, "03")],
+        "note string, k int, v string, c string",
+    )
+    for _ in range(2):
+        upsert_table(second, table, path, ["k"], ["c"])
+        found = read_table(spark, table)
+        assert rows(found.select("k", "v", "c", "note")) == sorted(
+            [(1, "a", "01", None), (2, "b2", "03", "x"), (3, None, "03", None), (4, "d", None, "y")],
+            key=repr,
+        )
+        assert {f for f in found.filter("c = '01'").inputFiles()} == untouched
+    by_path = spark.read.schema("k int, c string").parquet(path)
+    assert sorted(r.k for r in by_path.collect()) == [1, 2, 3, 4]
+
+
+def test_upsert_empties_the_null_partition(spark, table, path):
+    ddl = "k int, v string, c string"
+    upsert_table(spark.createDataFrame([(1, "a", None), (2, "b", "x")], ddl), table, path, ["k"], ["c"])
+    upsert_table(spark.createDataFrame([(1, "A", "x")], ddl), table, path, ["k"], ["c"])
+    assert rows(read_table(spark, table)) == [(1, "A", "x"), (2, "b", "x")]
+
+
+def test_upsert_of_more_partitions_than_are_listed(spark, table, path, monkeypatch):
+    monkeypatch.setattr("orderlake.sinks.tables.LISTED_PARTITIONS", 1)
+    ddl = "k int, v string, c string"
+    upsert_table(spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "z")], ddl), table, path, ["k"], ["c"])
+    upsert_table(spark.createDataFrame([(1, "A", "y"), (4, "d", "w")], ddl), table, path, ["k"], ["c"])
+    assert rows(read_table(spark, table)) == [(1, "A", "y"), (2, "b", "y"), (3, "c", "z"), (4, "d", "w")]
+
+
+def test_upsert_table_without_partitions(spark, table, path):
+    upsert_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), table, path, ["k"])
+    upsert_table(spark.createDataFrame([(2, "B", 7)], "k int, v string, n int"), table, path, ["k"])
+    assert rows(read_table(spark, table)) == [(1, "a", None), (2, "B", 7)]
+
+
+def test_upsert_refuses_ambiguous_rows_and_keeps_the_table(spark, table, path):
+    upsert_table(spark.createDataFrame([(1, "a", "p")], "k int, v string, c string"), table, path, ["k"], ["c"])
+    twice = spark.createDataFrame([(1, "x", "p"), (1, "y", "p")], "k int, v string, c string")
+    with pytest.raises(PySparkException, match="several source rows"):
+        upsert_table(twice, table, path, ["k"], ["c"])
+    assert rows(read_table(spark, table)) == [(1, "a", "p")]
+
+
+def test_upsert_finds_data_that_the_catalog_forgot(spark, table, path):
+    ddl = "k int, v string, c string"
+    upsert_table(spark.createDataFrame([(1, "a", "01"), (2, "b", "02")], ddl), table, path, ["k"], ["c"])
+    spark.sql(f"DROP TABLE {table}")
+    upsert_table(spark.createDataFrame([(2, "B", "02")], ddl), table, path, ["k"], ["c"])
+    assert rows(read_table(spark, table)) == [(1, "a", "01"), (2, "B", "02")]
+
+
+# --- quarantine, scratch -------------------------------------------------------------------
+
+
+def test_quarantine(spark, path):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "k int, v string")
+    assert rows(quarantine_missing(df, ["k", "v"], path)) == [(1, "a")]
+    assert rows(spark.read.parquet(path)) == sorted([(None, "b"), (3, None)], key=repr)
+    assert rows(quarantine_missing(df.filter("k = 1"), ["k", "v"], path)) == [(1, "a")]
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_scratch_path_is_in_the_shared_folder(spark):
+    one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert one != two
+    assert one.startswith(spark.conf.get("spark.checkpoint.dir"))
