@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import packing, prefix_hash, simhash, token_records
+from orderlake.llm import chat, decontaminate, licences, line_dedup, packing, prefix_hash, simhash, sql, token_records, toxicity
 from orderlake.llm.registry import query
 from orderlake.llm.tables import table
 
@@ -39,3 +39,48 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
+
+
+@query("op2_preference_pairs", sql.PREFERENCE_PAIRS)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = chat.preference_rows(*chat.with_foreign_answer(table(spark, sf_dir, "conversations")))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["first"], s["last"])), ",")
+    return pairs.withColumn("chosen_mask", spans("chosen_mask")).withColumn("rejected_mask", spans("rejected_mask"))
+
+
+@query("op4_line_dedup", sql.LINE_DEDUP)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", line_dedup.url_host(F.col("url")).alias("host"), line_dedup.html_lines(F.col("html")).alias("text")
+    )
+    return line_dedup.drop_boilerplate(pages, F.col("host"), counts=True)
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = toxicity.held_out(F.col("doc_id"), 4, 2)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~own).select("doc_id", "toxic")
+    found = toxicity.scored(docs, labels)
+    return found.select("doc_id", own.alias("held_out"), "score", "predicted")
+
+
+@query("op8_licence_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    places = F.transform("base_places", lambda p: p["first"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base_places").cast("long").alias("n_base"),
+        F.array_min(places).cast("long").alias("first_word"),
+        F.array_max(places).cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+@query("op9_benchmark_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
