@@ -19,12 +19,13 @@ shuffled. A larger benchmark makes more blocks, not larger ones.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -233,17 +234,23 @@ def without_leaks(
     for block in item_blocks(benchmark, item_id_column, "text", block_chars):
         sent = spark.sparkContext.broadcast(block)
 
-        @F.arrow_udf("boolean")
-        def leaks(texts: pa.Array, sent=sent) -> pa.Array:
-            items = prepared(*sent.value, least)
-            flags = np.zeros(len(texts), bool)
-            first = 0
-            batch = pa.RecordBatch.from_arrays([texts.cast(pa.string())], names=["text"])
-            for part in text_slices([batch], "text"):
-                for row, *_ in items.overlaps(part.column(0), coverage):
-                    flags[first + row] = True
-                first += part.num_rows
-            return pa.array(flags)
-
-        docs = docs.filter(~leaks(F.col("`" + text_column.replace("`", "``") + "`")))
+        docs = docs.filter(~_leaks(sent, coverage, least)(F.col("`" + text_column.replace("`", "``") + "`")))
     return docs
+
+
+def _leaks(sent: Broadcast, coverage: float, least: int) -> Callable:
+    """A function of a text: whether an item of the block reaches `coverage`."""
+
+    @F.arrow_udf("boolean")
+    def leaks(texts: pa.Array) -> pa.Array:
+        items = prepared(*sent.value, least)
+        flags = np.zeros(len(texts), bool)
+        first = 0
+        batch = pa.RecordBatch.from_arrays([texts.cast(pa.string())], names=["text"])
+        for part in text_slices([batch], "text"):
+            for row, *_ in items.overlaps(part.column(0), coverage):
+                flags[first + row] = True
+            first += part.num_rows
+        return pa.array(flags)
+
+    return leaks
