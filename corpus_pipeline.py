@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm import decontaminate, line_dedup, packing, simhash, toxicity
 from orderlake.llm.registry import query, visible
-from orderlake.llm.tables import staged, table
+from orderlake.llm.tables import held_out, staged, table
 
 #: Contract of the SimHash stage.
 SHINGLE_WORDS = 4
@@ -25,7 +25,7 @@ TOKENIZER = "word_bpe_49k.json"
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted label is 0, learnt from the labels of three ids in four."""
-    labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id"), 4, 2))
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 4, 2))
     scored = toxicity.scored(docs, labels.select("doc_id", "toxic"))
     return scored.filter("predicted = 0").select(*docs.columns)
 

@@ -6,9 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import chat, decontaminate, licences, line_dedup, packing, prefix_hash, simhash, sql, token_records, toxicity
+from orderlake.llm import (
+    chat,
+    decontaminate,
+    language_model,
+    licences,
+    line_dedup,
+    packing,
+    prefix_hash,
+    simhash,
+    sql,
+    token_records,
+    toxicity,
+)
 from orderlake.llm.registry import query
-from orderlake.llm.tables import table
+from orderlake.llm.tables import held_out, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -26,6 +38,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_hash.edited_by_successor(table(spark, sf_dir, "documents"))
 
 
+@query("op5_lm_scoring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id"), 7, 2).alias("held_out"))
+    return language_model.scored(docs, public_tokenizers.path(TOKENIZER))
+
+
 @query("op7_token_records")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = token_records.new_location(spark)
@@ -58,7 +76,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_toxicity")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = toxicity.held_out(F.col("doc_id"), 4, 2)
+    own = held_out(F.col("doc_id"), 4, 2)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(~own).select("doc_id", "toxic")
     found = toxicity.scored(docs, labels)

@@ -54,6 +54,11 @@ class WordEncoder:
         offsets = words.offsets.to_numpy(zero_copy_only=False)
         return ids, ends[offsets - offsets[0]]
 
+    def codes(self, words: list[str]) -> list[np.ndarray]:
+        """The ids of each of some words without white space."""
+        self._learn(words)
+        return [np.frombuffer(self.recent[word], "<u4") for word in words]
+
     def _learn(self, words: list[str]) -> None:
         """Afterwards the recent generation holds all `words`."""
         if len(self.recent) > self.cached:
