@@ -114,6 +114,8 @@ class Items:
             low, high = (np.searchsorted(hashes, windows, side=s) for s in ("left", "right"))
             count = high - low
             at = np.repeat(np.arange(len(starts)), count)
+            if not len(at):
+                continue
             pick = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             seeds = np.stack([rows[at], items[pick], starts[at] - offsets[rows[at]], places[pick]])
             seeds = seeds[:, np.lexsort(seeds[::-1])]
