@@ -303,14 +303,32 @@ def labelled(marked: DataFrame, max_bits: int, id_column: str = "doc_id") -> Dat
     return marked.join(labels, "fingerprint")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_column: str = "doc_id") -> DataFrame:
-    """The rows with the smallest id of each class, once each; the columns of `docs`.
+def one_of_each(
+    docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The row with the smallest id of each class, with the columns of `docs`.
 
-    Of a class without ids, one row stays.
+    Of a class without ids one row stays, and of rows that repeat an id in a class.
     """
-    found = near_duplicates(docs, shingle, max_bits, id_column)
-    kept = found.filter(F.col(_quoted(id_column)).eqNullSafe(F.col("component_id")))
-    return kept.dropDuplicates(["class"]).select(*[F.col(_quoted(c)) for c in docs.columns])
+    rows = staged(
+        with_fingerprints(docs.select(F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias("row"),
+                                      F.col(_quoted(text_column)).alias("text")), "text", shingle)
+        .select("row", F.struct(F.col("row")[id_column].alias("id"), F.col("fingerprint")).alias("name")),
+        "simhash-documents",
+    )
+    named = rows.select(F.col("name.fingerprint").alias("fingerprint"), F.col("name.id").alias(id_column))
+    first = F.min(F.struct(F.col(_quoted(id_column)).isNull(), F.col(_quoted(id_column)).alias("id"), "fingerprint"))
+    kept = staged(
+        labelled(named, max_bits, id_column)
+        .groupBy("class")
+        .agg(first.alias("first"))
+        .select(F.struct("first.id", "first.fingerprint").alias("name")),
+        "simhash-kept",
+    )
+    # The kept names grow with the documents, so they are never broadcast; rows that repeat a name
+    # then lie together already.
+    found = rows.join(kept.hint("merge"), "name", "left_semi").dropDuplicates(["name"])
+    return found.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def _quoted(name: str) -> str:
