@@ -371,8 +371,9 @@ def scored(
         .groupBy("id")
         .agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).cast("long").alias("toxic"))
     )
+    # Labels grow with the documents, so they are never broadcast.
     marked = staged(
-        rows.select("id", "text").join(known, "id").select("text", "toxic"), "toxicity-labelled"
+        rows.select("id", "text").join(known.hint("merge"), "id").select("text", "toxic"), "toxicity-labelled"
     )
     voters = Voters(found_voters(marked))
     # The rows' texts are read once more; what follows works on the counts alone.
