@@ -66,7 +66,8 @@ def clean_columns(df: DataFrame) -> DataFrame:
 
 def _rename_all(df: DataFrame, new_name: Callable[[str], str]) -> DataFrame:
     names = [new_name(c) for c in df.columns]
-    clashes = sorted(n for n, times in Counter(names).items() if times > 1)
+    times = Counter(n.lower() for n in names)  # Spark's names differ by more than case
+    clashes = sorted(n for n in names if times[n.lower()] > 1)
     if clashes:
         raise ValueError(f"several columns would be named {clashes}")
     return df.toDF(*names)

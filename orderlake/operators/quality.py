@@ -32,12 +32,12 @@ def split_missing(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Dat
 
 def cart_level(consumed_entry: str, promotion: str) -> Column:
     """A promotion on the whole cart: entry text `''`, or no entry text but a promotion code."""
-    entry = F.col(consumed_entry)
-    return (entry == "") | (entry.isNull() & F.col(promotion).isNotNull())
+    entry = F.col(quote(consumed_entry))
+    return (entry == "") | (entry.isNull() & F.col(quote(promotion)).isNotNull())
 
 
 def nonempty_or_null(column: str) -> Column:
-    return (F.col(column) != "") | F.col(column).isNull()
+    return (F.col(quote(column)) != "") | F.col(quote(column)).isNull()
 
 
 def both_nonempty(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame] | None:

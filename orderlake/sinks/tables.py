@@ -7,23 +7,21 @@ of a write can see parts of it, and two writers on one table must not run togeth
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from orderlake.operators.columns import quote
 from orderlake.operators.quality import require_present, split_missing
-from orderlake.operators.upsert import matched_keys, upsert
+from orderlake.operators.upsert import conformed, merged_type, upsert
 from orderlake.scratch import scratch_path
 
-# Partition values named one by one in a filter; with more, an upsert rewrites the whole table.
-LISTED_PARTITIONS = 1000
-
 
 def ensure_database(spark: SparkSession, table: str) -> None:
     if "." in table:
@@ -45,6 +43,7 @@ def overwrite_table(
     """
     spark = df.sparkSession
     ensure_database(spark, table)
+    df = storable(df, partition_by)
     if schema_mode == "merge":
         if attach_table(spark, table, path, partition_by, df.schema):
             df = _with_columns_of(df, spark.table(table).schema)
@@ -73,6 +72,15 @@ def guarded(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return require_present(df.dropDuplicates(), keys)
 
 
+def storable(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Partition columns as a folder table gives them back: an empty text is stored as null.
+
+    Every writer does this before it works out which partitions it touches.
+    """
+    texts = [c for c in partition_by if isinstance(df.schema[c].dataType, StringType)]
+    return df.withColumns({c: F.nullif(F.col(quote(c)), F.lit("")) for c in texts}) if texts else df
+
+
 def replace_slice(df: DataFrame, table: str, path: str, slice_values: Mapping[str, int | str]) -> None:
     """Replace the one partition named by `slice_values` (such as year, month and day).
 
@@ -83,6 +91,8 @@ def replace_slice(df: DataFrame, table: str, path: str, slice_values: Mapping[st
     """
     spark = df.sparkSession
     parts = list(slice_values)
+    df = storable(df, parts)
+    slice_values = {c: None if v == "" else v for c, v in slice_values.items()}
     inside = reduce(and_, [F.col(quote(c)).eqNullSafe(F.lit(v)) for c, v in slice_values.items()])
     checked = df.filter(
         F.when(inside, F.lit(True)).otherwise(
@@ -93,6 +103,8 @@ def replace_slice(df: DataFrame, table: str, path: str, slice_values: Mapping[st
     if not attach_table(spark, table, path, parts, df.schema):
         overwrite_table(checked, table, path, parts)
         return
+    # Computed once: the copy is asked whether it has rows and is then what is written.
+    checked = _staged(checked, "slice")
     if checked.isEmpty():
         _empty_partition(spark, table, slice_values)
         return
@@ -113,7 +125,7 @@ def upsert_table(
     """
     spark = df.sparkSession
     keys, parts = list(keys), list(partition_by)
-    source = guarded(df, keys)
+    source = storable(guarded(df, keys), parts)
     ensure_database(spark, table)
     if not attach_table(spark, table, path, parts, df.schema):
         overwrite_table(source, table, path, parts)
@@ -122,23 +134,21 @@ def upsert_table(
     # The source is used several times below; a staged copy is computed once.
     source = _staged(source, "upsert-source")
     target = spark.table(table)
-    touched = _touched_partitions(target, source, keys, parts) if parts else None
-    if touched is not None:
+    touched = _touched_partitions(target, source, keys, parts) if parts else []
+    if parts:
         if not touched:
             return
-        target = target.filter(_in_partitions(touched, parts))
-    result = _staged(
-        _few_files(upsert(target, source, keys), parts), "upsert-result", parts
-    )
+        target = _in_partitions(target, touched, parts)
+    result = _staged(_few_files(upsert(target, source, keys), parts), "upsert-result")
 
-    add_columns(spark, table, source.schema)
-    if touched is None:
-        writer = _in_table_schema(result, table).write.mode("overwrite")
-        (writer.partitionBy(*parts) if parts else writer).parquet(path)
+    add_columns(spark, table, result.schema)
+    widen_structs(spark, table, path, parts, result.schema)
+    if not parts:
+        _in_table_schema(result, table).write.mode("overwrite").parquet(path)
         refresh_table(spark, table, parts)
         return
     _overwrite_partitions(result, table, path, parts)
-    filled = {tuple(r) for r in result.select(*parts).distinct().collect()}
+    filled = {tuple(r) for r in result.select(*map(quote, parts)).distinct().collect()}
     for values in set(touched) - filled:
         # all rows have moved to other partitions, so nothing was written over these
         _empty_partition(spark, table, dict(zip(parts, values)))
@@ -160,6 +170,7 @@ def attach_table(
     become the number 1.
     """
     if spark.catalog.tableExists(table):
+        _refuse_other_layout(spark, table, path, partition_by)
         return True
     try:
         found = spark.read.option("mergeSchema", "true").parquet(path).schema
@@ -169,20 +180,53 @@ def attach_table(
         raise
     data = [f for f in found.fields if f.name not in partition_by]
     schema = StructType([*data, *[like[c] for c in partition_by]])
+    _enter(spark, table, path, partition_by, schema)
+    return True
+
+
+def _refuse_other_layout(spark: SparkSession, table: str, path: str, partition_by: Sequence[str]) -> None:
+    """An error if the catalog has the table at another place or partitioned in another way."""
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if sorted(c.lower() for c in parts) != sorted(c.lower() for c in partition_by):
+        raise ValueError(f"{table} is partitioned by {parts}, not by {list(partition_by)}")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    if described is not None and _place(described.data_type) != _place(path):
+        raise ValueError(f"{table} is at {described.data_type}, not at {path}")
+
+
+def _place(path: str) -> str:
+    """A path without what one spelling of the same place may have and another lacks."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
+def widen_structs(spark: SparkSession, table: str, path: str, partition_by: Sequence[str], schema: StructType) -> None:
+    """Let the table's structs have the new fields of `schema`; they are null in the rows it has.
+
+    A catalog changes no column's type, so the table is entered anew over the same files.
+    """
+    old = spark.table(table).schema
+    new = {f.name.lower(): f for f in schema.fields}
+    wide = StructType()
+    for field in old.fields:
+        other = new.get(field.name.lower())
+        wide.add(field.name, merged_type(field.dataType, other.dataType) if other else field.dataType)
+    if [f.dataType for f in wide.fields] == [f.dataType for f in old.fields]:
+        return
+    spark.sql(f"DROP TABLE {table}")
+    _enter(spark, table, path, partition_by, wide)
+
+
+def _enter(spark: SparkSession, table: str, path: str, partition_by: Sequence[str], schema: StructType) -> None:
     partitioned = f"PARTITIONED BY ({_names(partition_by)})" if partition_by else ""
-    spark.sql(
-        f"CREATE TABLE {table} ({schema.toDDL()}) USING parquet {partitioned} "
-        f"LOCATION {_literal(path)}"
-    )
+    spark.sql(f"CREATE TABLE {table} ({schema.toDDL()}) USING parquet {partitioned} LOCATION {_literal(path)}")
     if partition_by:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    return True
 
 
 def add_columns(spark: SparkSession, table: str, schema: StructType) -> None:
     """Add the columns that the table lacks; they are null in the rows it has."""
-    known = set(spark.table(table).columns)
-    new = [f for f in schema.fields if f.name not in known]
+    known = {c.lower() for c in spark.table(table).columns}
+    new = [f for f in schema.fields if f.name.lower() not in known]
     if new:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({StructType(new).toDDL()})")
 
@@ -190,11 +234,15 @@ def add_columns(spark: SparkSession, table: str, schema: StructType) -> None:
 def _in_table_schema(df: DataFrame, table: str) -> DataFrame:
     schema = df.sparkSession.table(table).schema
     df = _with_columns_of(df, schema)
-    return df.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
+    types = {f.name.lower(): f.dataType for f in df.schema.fields}
+    return df.select(
+        *[conformed(F.col(quote(f.name)), types[f.name.lower()], f.dataType).alias(f.name) for f in schema.fields]
+    )
 
 
 def _with_columns_of(df: DataFrame, schema: StructType) -> DataFrame:
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in df.columns}
+    there = {c.lower() for c in df.columns}
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name.lower() not in there}
     return df.withColumns(missing) if missing else df
 
 
@@ -206,34 +254,42 @@ def _few_files(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def _staged(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def _staged(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _touched_partitions(
-    target: DataFrame, source: DataFrame, keys: list[str], parts: list[str]
-) -> list[tuple] | None:
-    """Partition values that hold matched rows or receive source rows; None when too many."""
-    matched = target.select(*dict.fromkeys([*keys, *parts])).join(
-        source.select(*keys), keys, "left_semi"
-    )
+def _touched_partitions(target: DataFrame, source: DataFrame, keys: list[str], parts: list[str]) -> list[tuple]:
+    """Partition values that hold matched rows or receive source rows.
+
+    As many as partitions are rewritten, whose folders the driver lists in any case.
+    """
+    columns = list(dict.fromkeys([*keys, *parts]))
+    matched = target.select(*map(quote, columns)).join(source.select(*map(quote, keys)), keys, "left_semi")
     types = {f.name: f.dataType for f in target.schema.fields}
     received = source.select(*[F.col(quote(c)).cast(types[c]).alias(c) for c in parts])
-    touched = matched.select(*parts).distinct().union(received.distinct()).distinct()
-    rows = touched.limit(LISTED_PARTITIONS + 1).collect()
-    return [tuple(r) for r in rows] if len(rows) <= LISTED_PARTITIONS else None
-
-
-def _in_partitions(values: Sequence[tuple], parts: Sequence[str]) -> Column:
-    return reduce(
-        or_,
-        [
-            reduce(and_, [F.col(quote(c)).eqNullSafe(F.lit(v)) for c, v in zip(parts, row)])
-            for row in values
-        ],
-    )
+    touched = matched.select(*map(quote, parts)).distinct().union(received.distinct()).distinct()
+    return [tuple(r) for r in touched.collect()]
+
+
+def _in_partitions(target: DataFrame, values: Sequence[tuple], parts: Sequence[str]) -> DataFrame:
+    """The rows of some partitions. A filter per column prunes folders, for however many values.
+
+    With several partition columns that keeps some combinations too many, which a semi join
+    takes out.
+    """
+    for place, c in enumerate(parts):
+        own = {row[place] for row in values}
+        column = F.col(quote(c))
+        named = column.isin(sorted(own - {None}))
+        target = target.filter(named | column.isNull() if None in own else named)
+    if len(parts) == 1:
+        return target
+    schema = StructType([target.schema[c] for c in parts])
+    wanted = target.sparkSession.createDataFrame(list(values), schema).toDF(*[f"__{c}" for c in parts])
+    same = reduce(and_, [F.col(quote(c)).eqNullSafe(F.col(quote(f"__{c}"))) for c in parts])
+    return target.join(wanted, same, "left_semi")
 
 
 def _overwrite_partitions(df: DataFrame, table: str, path: str, parts: Sequence[str]) -> None:

@@ -181,12 +181,60 @@ def test_lookup_join_salted_equals_broadcast(spark):
         [("HOT", 1), ("HOT", 2), ("3", 3), (None, 4)], "ref string, rate int"
     )
     small = lookup_join(left, right, "code", "ref")
-    salted = lookup_join(left, right, "code", "ref", broadcast_rows=1, salts=4)
+    salted = lookup_join(left.withColumn("m", F.create_map(F.lit("a"), "id")), right, "code", "ref", salts=4).drop("m")
     assert salted.columns == small.columns
     assert rows(salted) == rows(small)
     assert small.filter("code = 'HOT'").count() == 2 * left.filter("code = 'HOT'").count()
 
 
+@pytest.fixture
+def small_skew(spark):
+    """Broadcasts off, and partitions count as skewed from a few kilobytes on."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.files.maxPartitionBytes": "100k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot(spark, n=40_000):
+    return spark.range(0, n, 1, 8).selectExpr(
+        "if(id % 10 < 9, 1, id) k", "id", "sha2(cast(id as string), 256) pad"
+    )
+
+
+def test_a_hot_key_is_split_beside_an_aggregated_side(spark, small_skew):
+    left = hot(spark)
+    right = left.groupBy("k").agg(F.count("*").alias("n"))
+    joined = left_join(left, right, ["k"])
+    assert "skew=true" in final_plan(joined)
+    assert joined.filter("k = 1").agg(F.sum("n")).first()[0] == 36_000**2
+
+
+def test_hot_keys_are_split_in_an_upsert(spark, small_skew):
+    target = hot(spark).selectExpr("k", "id", "pad")
+    source = spark.range(1, 20_000, 1, 4).selectExpr("id k", "-id id", "sha2(cast(id as string), 512) pad")
+    result = upsert(target, source, ["k"])
+    plan = final_plan(result)
+    assert plan.count("skew=true") >= 1
+    assert result.filter("k = 1").groupBy("id").count().collect() == [(-1, 36_000)]
+
+
 # --- aggregates, latest --------------------------------------------------------------------
 
 

@@ -189,12 +189,66 @@ def test_upsert_empties_the_null_partition(spark, table, path):
     assert rows(read_table(spark, table)) == [(1, "A", "x"), (2, "b", "x")]
 
 
-def test_upsert_of_more_partitions_than_are_listed(spark, table, path, monkeypatch):
-    monkeypatch.setattr("orderlake.sinks.tables.LISTED_PARTITIONS", 1)
+def test_upsert_of_many_partitions_leaves_the_others_alone(spark, table, path):
+    first = spark.range(1003).selectExpr("cast(id as int) k", "'a' v", "cast(id as string) c").coalesce(1)
+    upsert_table(first, table, path, ["k"], ["c"])
+    others = F.col("c").isin("1001", "1002")
+    before = set(read_table(spark, table).filter(others).inputFiles())
+    assert len(before) == 2
+    upsert_table(first.filter("k <= 1000").withColumn("v", F.lit("b")), table, path, ["k"], ["c"])
+    found = read_table(spark, table)
+    assert found.groupBy("v").count().orderBy("v").collect() == [("a", 2), ("b", 1001)]
+    assert set(found.filter(others).inputFiles()) == before
+
+
+def test_upsert_keeps_the_rows_of_the_null_partition(spark, table, path):
+    ddl = "k int, v string, c string"
+    first = spark.createDataFrame([(1, "a", ""), (2, "b", None), (9, "z", "x")], ddl)
+    upsert_table(first, table, path, ["k"], ["c"])
+    upsert_table(spark.createDataFrame([(3, "c", ""), (9, "Z", "")], ddl), table, path, ["k"], ["c"])
+    expected = [(1, "a", None), (2, "b", None), (3, "c", None), (9, "Z", None)]
+    assert rows(read_table(spark, table)) == sorted(expected, key=repr)
+
+
+def test_upsert_by_two_partition_columns(spark, table, path):
+    ddl = "k int, v string, c string, d int"
+    first = [(1, "a", "x", 1), (2, "b", "x", 2), (3, "c", "y", 1), (4, "d", None, 2)]
+    upsert_table(spark.createDataFrame(first, ddl), table, path, ["k"], ["c", "d"])
+    before = set(read_table(spark, table).filter("c = 'x' and d = 2").inputFiles())
+    second = [(1, "A", "x", 1), (3, "C", "y", 1), (5, "e", "", 1)]
+    upsert_table(spark.createDataFrame(second, ddl), table, path, ["k"], ["c", "d"])
+    expected = [(1, "A", "x", 1), (2, "b", "x", 2), (3, "C", "y", 1), (4, "d", None, 2), (5, "e", None, 1)]
+    assert rows(read_table(spark, table)) == sorted(expected, key=repr)
+    assert set(read_table(spark, table).filter("c = 'x' and d = 2").inputFiles()) == before
+
+
+def test_upsert_adds_fields_to_structs(spark, table, path):
+    first = spark.createDataFrame([(1, (1, "a"), "p"), (2, (2, "b"), "q")], "k int, s struct<x:int,y:string>, c string")
+    upsert_table(first, table, path, ["k"], ["c"])
+    wider = "K int, s struct<y:string,z:double>, c string"
+    upsert_table(spark.createDataFrame([(2, ("B", 0.5), "q"), (3, ("C", 1.5), "q")], wider), table, path, ["k"], ["c"])
+    found = read_table(spark, table).select("k", "s.x", "s.y", "s.z")
+    assert rows(found) == sorted([(1, 1, "a", None), (2, None, "B", 0.5), (3, None, "C", 1.5)], key=repr)
+
+
+@pytest.mark.parametrize("parts", [["c"], []])
+def test_a_table_at_another_place_or_of_another_layout_is_refused(spark, table, path, parts):
     ddl = "k int, v string, c string"
-    upsert_table(spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "z")], ddl), table, path, ["k"], ["c"])
-    upsert_table(spark.createDataFrame([(1, "A", "y"), (4, "d", "w")], ddl), table, path, ["k"], ["c"])
-    assert rows(read_table(spark, table)) == [(1, "A", "y"), (2, "b", "y"), (3, "c", "z"), (4, "d", "w")]
+    df = spark.createDataFrame([(1, "a", "x")], ddl)
+    upsert_table(df, table, path, ["k"], parts)
+    with pytest.raises(ValueError, match="is at"):
+        upsert_table(df, table, path + "_other", ["k"], parts)
+    with pytest.raises(ValueError, match="partitioned by"):
+        upsert_table(df, table, path, ["k"], ["v"])
+    assert rows(read_table(spark, table)) == [(1, "a", "x")]
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_replace_the_slice_without_a_value(spark, table, path):
+    ddl = "k int, c string"
+    overwrite_table(spark.createDataFrame([(1, ""), (2, None), (3, "x")], ddl), table, path, ["c"])
+    replace_slice(spark.createDataFrame([(4, ""), (5, None)], ddl), table, path, {"c": ""})
+    assert rows(read_table(spark, table)) == sorted([(3, "x"), (4, None), (5, None)], key=repr)
 
 
 def test_upsert_table_without_partitions(spark, table, path):
