@@ -89,8 +89,8 @@ TEMPLATES = [
 ]
 
 #: Rare words of a file that are looked up.
-RARE_WORDS = 16
-#: Rare words that have to agree on a start (all, if a template has fewer of them in the file).
+RARE_WORDS = 24
+#: Places of rare words that have to agree on a start. A mandatory phrase has more.
 AGREEING = 2
 #: IDF share of the template that has to stand in its place.
 LEAST_SCORE = 0.6
@@ -168,19 +168,23 @@ def scan(docs: DataFrame, text_column: str = "text", rare_words: int = RARE_WORD
         F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
         lambda h: F.array_contains(F.col("rare"), h["w"]),
     )
-    starts = F.array_distinct(
+    # A start is one number, template and place, so that sorting brings those together on which
+    # several rare words agree, in n log n steps.
+    starts = F.sort_array(
         F.flatten(
             F.transform(
                 hits,
-                lambda h: F.transform(
-                    postings[h["w"]], lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["j"]).alias("start"))
-                ),
+                lambda h: F.transform(postings[h["w"]], lambda p: F.shiftleft(p["t"].cast("long"), 33) + h["i"] - p["j"] + 1000),
             )
         )
     )
+    rows = rows.withColumn("starts", starts)
+    agreeing = F.array_distinct(
+        F.filter("starts", lambda s, k: F.coalesce(F.get(F.col("starts"), k + (AGREEING - 1)) == s, F.lit(False)))
+    )
     rows = rows.withColumn(
         "aligned",
-        F.filter(F.transform(starts, lambda s: _alignment(s, templates, words, F.col("rare"))), lambda a: a["agree"]),
+        F.transform(agreeing, lambda s: _alignment(s, templates, words)),
     )
     verified = F.filter("aligned", lambda a: a["phrases"] & (a["score"] >= LEAST_SCORE))
     base_labels = F.array_sort(F.array_distinct(F.transform("base_places", lambda p: p["label"])))
@@ -188,17 +192,17 @@ def scan(docs: DataFrame, text_column: str = "text", rare_words: int = RARE_WORD
     score = F.when(F.size("base_places") > 0, F.lit(1.0)).otherwise(
         F.coalesce(F.array_max(F.transform("aligned", lambda a: a["score"])), F.lit(0.0))
     )
-    return rows.select(
-        *[F.col(f"row.{_quoted(c)}") for c in docs.columns if c not in added],
+    placed = lambda a: F.struct(*[a[n].alias(n) for n in ("label", "first", "last", "score")])
+    done = rows.select(
+        "row",
         "n_words",
         "base_places",
-        F.transform(
-            verified, lambda a: F.struct(a["label"].alias("label"), a["first"].alias("first"), a["last"].alias("last"), a["score"].alias("score"))
-        ).alias("alignments"),
+        F.transform(verified, placed).alias("alignments"),
         base_labels.alias("base_labels"),
         F.array_sort(labels).alias("labels"),
         score.alias("score"),
     )
+    return done.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
 def _template(label: str, text: str, phrases: list[str], idf: dict[str, float]) -> Column:
@@ -220,19 +224,17 @@ def _template(label: str, text: str, phrases: list[str], idf: dict[str, float])
     )
 
 
-def _alignment(start: Column, templates: Column, words: Column, rare: Column) -> Column:
-    template, first = templates[start["t"]], start["start"]
+def _alignment(start: Column, templates: Column, words: Column) -> Column:
+    template = templates[F.shiftright(start, 33).cast("int")]
+    first = (start.bitwiseAND(F.lit((1 << 33) - 1)) - 1000).cast("int")
     at = lambda j: F.get(words, first + j)
     placed = F.transform(
         template["words"],
         lambda w, j: F.struct(
             F.coalesce(at(j) == w["w"], F.lit(False)).alias("hit"),
-            F.array_contains(rare, w["w"]).alias("rare"),
             w["share"].alias("share"),
         ),
     )
-    rare_hits = F.size(F.filter(placed, lambda p: p["hit"] & p["rare"]))
-    rare_there = F.size(F.filter(placed, lambda p: p["rare"]))
     phrases = F.forall(
         template["phrases"],
         lambda p: F.forall(
@@ -243,7 +245,6 @@ def _alignment(start: Column, templates: Column, words: Column, rare: Column) ->
         template["label"].alias("label"),
         first.alias("first"),
         (first + F.size(template["words"]) - 1).alias("last"),
-        (rare_hits >= F.least(F.lit(AGREEING), rare_there)).alias("agree"),
         phrases.alias("phrases"),
         F.least(
             F.lit(1.0), F.aggregate(placed, F.lit(0.0), lambda s, p: s + F.when(p["hit"], p["share"]).otherwise(0.0))

@@ -80,20 +80,19 @@ def drop_boilerplate(
     kept = F.when(
         F.col("boilerplate").isNull(), F.col("lines")
     ).otherwise(F.filter("lines", lambda line: ~F.array_contains(F.col("boilerplate"), _name(F.trim(line)))))
-    text = F.array_join(kept, "\n")
-    added = []
-    if counts:
-        shown = F.size(F.filter("lines", lambda line: F.trim(line) != ""))
-        added = [
-            F.coalesce(F.when(F.col("lines").isNull(), 0).otherwise(shown), F.lit(0)).cast("long").alias("n_lines"),
-            F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines") - F.size(kept)).cast("long").alias("n_dropped"),
-        ]
+    shown = F.size(F.filter("lines", lambda line: F.trim(line) != ""))
+    none = F.col("lines").isNull()
+    done = told.select(
+        "row",
+        F.array_join(kept, "\n").alias("kept_text"),
+        F.when(none, 0).otherwise(shown).cast("long").alias("n_lines"),
+        F.when(none, 0).otherwise(F.size("lines") - F.size(kept)).cast("long").alias("n_dropped"),
+    )
+    added = ["n_lines", "n_dropped"] if counts else []
     columns = [
-        text.alias(c) if c == text_column else F.col(f"row.{_quoted(c)}")
-        for c in docs.columns
-        if not (counts and c in ("n_lines", "n_dropped"))
+        F.col("kept_text").alias(c) if c == text_column else F.col("row")[c].alias(c) for c in docs.columns if c not in added
     ]
-    return told.select(*columns, *added)
+    return done.select(*columns, *added)
 
 
 def _name(line: Column) -> Column:
