@@ -123,7 +123,8 @@ def scan(docs: DataFrame, text_column: str = "text", rare_words: int = RARE_WORD
 
     base_places has (label, first) for each place of a base phrase; alignments has (label, first,
     last, score) for each verified alignment, places in words from 0. Labels are arrays, distinct
-    and sorted. The score is 1 where a base phrase stands, else the best alignment's share, verified or not, else 0.
+    and sorted. The score is 1 where a base phrase stands, else the share of the best start with all its
+    mandatory phrases, else 0.
     Null and empty texts have no words and score 0. Columns of these names in `docs` are replaced.
     """
     n, frequency = document_frequencies(docs, text_column)
@@ -182,11 +183,13 @@ def scan(docs: DataFrame, text_column: str = "text", rare_words: int = RARE_WORD
     agreeing = F.array_distinct(
         F.filter("starts", lambda s, k: F.coalesce(F.get(F.col("starts"), k + (AGREEING - 1)) == s, F.lit(False)))
     )
-    rows = rows.withColumn(
+    rows = rows.withColumn("agreeing", agreeing).withColumn(
         "aligned",
-        F.transform(agreeing, lambda s: _alignment(s, templates, words)),
+        F.transform(
+            F.filter("agreeing", lambda s: _has_phrases(s, templates, words)), lambda s: _alignment(s, templates, words)
+        ),
     )
-    verified = F.filter("aligned", lambda a: a["phrases"] & (a["score"] >= LEAST_SCORE))
+    verified = F.filter("aligned", lambda a: a["score"] >= LEAST_SCORE)
     base_labels = F.array_sort(F.array_distinct(F.transform("base_places", lambda p: p["label"])))
     labels = F.array_union(base_labels, F.transform(verified, lambda a: a["label"]))
     score = F.when(F.size("base_places") > 0, F.lit(1.0)).otherwise(
@@ -224,31 +227,35 @@ def _template(label: str, text: str, phrases: list[str], idf: dict[str, float])
     )
 
 
-def _alignment(start: Column, templates: Column, words: Column) -> Column:
+def _parts(start: Column, templates: Column) -> tuple[Column, Column]:
     template = templates[F.shiftright(start, 33).cast("int")]
-    first = (start.bitwiseAND(F.lit((1 << 33) - 1)) - 1000).cast("int")
-    at = lambda j: F.get(words, first + j)
-    placed = F.transform(
-        template["words"],
-        lambda w, j: F.struct(
-            F.coalesce(at(j) == w["w"], F.lit(False)).alias("hit"),
-            w["share"].alias("share"),
-        ),
-    )
-    phrases = F.forall(
+    return template, (start.bitwiseAND(F.lit((1 << 33) - 1)) - 1000).cast("int")
+
+
+def _has_phrases(start: Column, templates: Column, words: Column) -> Column:
+    """Whether every mandatory phrase stands where a template at `start` has it."""
+    template, first = _parts(start, templates)
+    return F.forall(
         template["phrases"],
-        lambda p: F.forall(
-            F.transform(p["words"], lambda w, k: F.coalesce(at(p["j"] + k) == w, F.lit(False))), lambda ok: ok
+        lambda p: F.forall(  # word by word, as a slice would copy the whole text
+            F.transform(p["words"], lambda w, k: F.coalesce(F.get(words, first + p["j"] + k) == w, F.lit(False))),
+            lambda stands: stands,
         ),
     )
+
+
+def _alignment(start: Column, templates: Column, words: Column) -> Column:
+    """What stands in its place of a template at `start`."""
+    template, first = _parts(start, templates)
+    shares = F.transform(
+        template["words"],
+        lambda w, j: F.when(F.coalesce(F.get(words, first + j) == w["w"], F.lit(False)), w["share"]).otherwise(0.0),
+    )
     return F.struct(
         template["label"].alias("label"),
         first.alias("first"),
         (first + F.size(template["words"]) - 1).alias("last"),
-        phrases.alias("phrases"),
-        F.least(
-            F.lit(1.0), F.aggregate(placed, F.lit(0.0), lambda s, p: s + F.when(p["hit"], p["share"]).otherwise(0.0))
-        ).alias("score"),
+        F.least(F.lit(1.0), F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)).alias("score"),
     )
 
 
