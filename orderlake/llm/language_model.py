@@ -37,7 +37,9 @@ from orderlake.llm import attention
 from orderlake.llm.tables import staged, text_slices
 from orderlake.llm.tokens import word_encoder
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 8 << 20
+#: Texts of a chunk whose windows are laid out at once.
+PORTION = 32
 #: Groups of the output layer, and slots of a group; the last slot of all is for all other units.
 GROUPS = 52
 SLOTS = 52
@@ -246,8 +248,8 @@ def drawn_windows(batches: Iterator[pa.RecordBatch], place: np.ndarray, rate: fl
             rng = np.random.default_rng([seed, chunk["chunk"].as_py()])
             rows = np.flatnonzero(~np.array(chunk["held_out"].as_py(), bool))
             # Texts in portions, so that their windows are never all there at once.
-            for k in range(0, len(rows), 256):
-                x, y, valid, _ = attention.windows(sequences(chunk, place, rows[k : k + 256]), GROUPS * SLOTS)
+            for k in range(0, len(rows), PORTION):
+                x, y, valid, _ = attention.windows(sequences(chunk, place, rows[k : k + PORTION]), GROUPS * SLOTS)
                 keep = rng.random(len(x)) < rate
                 yield x[keep], y[keep], valid[keep]
 
@@ -330,8 +332,8 @@ def model_scores(parts: DataFrame, units: Units, model: attention.Params) -> Dat
                 rare = np.bincount(owner, weights=extra[chunk["units"]], minlength=len(lengths))
                 sums = np.append(0, np.cumsum(rare[chunk["tokens"]]))[chunk["offsets"]]
                 out = np.diff(sums)
-                for k in range(0, n, 256):
-                    rows = np.arange(k, min(n, k + 256))
+                for k in range(0, n, PORTION):
+                    rows = np.arange(k, min(n, k + PORTION))
                     out[rows] += scorer.score(sequences(chunk, place, rows))
                 yield pa.RecordBatch.from_pydict(
                     {
