@@ -244,7 +244,8 @@ def near_links(fingerprints: DataFrame, partitions: list[Partition], max_bits: i
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own, other = batch.column(0), batch.column(1)
-            left, right = own.flatten().to_numpy(), other.flatten().to_numpy()
+            # Unsigned: bitwise_count takes a signed number's absolute value.
+            left, right = own.flatten().to_numpy().view(np.uint64), other.flatten().to_numpy().view(np.uint64)
             ends_left = np.cumsum(own.value_lengths().to_numpy(zero_copy_only=False))
             ends_right = np.cumsum(other.value_lengths().to_numpy(zero_copy_only=False))
             starts_left, starts_right = np.append(0, ends_left), np.append(0, ends_right)
@@ -258,7 +259,8 @@ def near_links(fingerprints: DataFrame, partitions: list[Partition], max_bits: i
                 )
                 found_a.append(x)
                 found_b.append(y)
-            yield pa.RecordBatch.from_pydict({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+            a, b = (np.concatenate(found).view(np.int64) for found in (found_a, found_b))
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
     return pairs.mapInArrow(compare, "a long, b long")
 
