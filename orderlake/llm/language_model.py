@@ -87,36 +87,36 @@ def chunks(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             there = coded.indices.is_valid().to_numpy(zero_copy_only=False)
             tokens = coded.indices.fill_null(0).to_numpy(zero_copy_only=False)[there]
             ends = np.append(0, np.cumsum(there))[offsets - offsets[0]]
-            words = [*coded.dictionary.to_pylist(), END]
+            words = pa.concat_arrays([coded.dictionary, pa.array([END])])
             tokens = np.insert(tokens, ends[1:], len(words) - 1).astype("<i4")
             offsets = ends + np.arange(len(ends))
             held = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
             learnt = tokens[np.repeat(~held, np.diff(offsets))]
-            units = [units_of(ids) for ids in encoder.codes(words[:-1])]
-            units.append(np.array([end_unit], "<u4"))
+            units, unit_ends = units_of(*encoder.flat(coded.dictionary.to_pylist()))
             yield pa.RecordBatch.from_pydict(
                 {
                     "chunk": pa.array([first + number], pa.int64()),
-                    "words": pa.array([words], pa.list_(pa.string())),
+                    "words": pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
                     "train": [np.bincount(learnt, minlength=len(words)).astype("<i8").tobytes()],
-                    "units": [np.concatenate(units).tobytes()],
-                    "unit_ends": [np.cumsum([len(u) for u in units]).astype("<i8").tobytes()],
+                    "units": [np.append(units, np.array([end_unit], "<u4")).tobytes()],
+                    "unit_ends": [np.append(unit_ends, len(units) + 1).astype("<i8").tobytes()],
                     "doc_ids": pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
                     "held_out": pa.array([held.tolist()], pa.list_(pa.bool_())),
                     "offsets": [offsets.astype("<i8").tobytes()],
                     "tokens": [tokens.tobytes()],
                 }
             )
+        encoder.forget()  # later stages need the memory
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "held_out")
     return rows.mapInArrow(cut, CHUNK)
 
 
-def units_of(ids: np.ndarray) -> np.ndarray:
-    """Twice each id, and 1 more for the last of a word."""
-    units = ids.astype("<u4") * 2
-    units[-1:] += 1
-    return units
+def units_of(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Twice each id, and 1 more for the last of a word that has any."""
+    units = ids * np.uint32(2)
+    units[ends[np.diff(ends, prepend=0) > 0] - 1] += np.uint32(1)
+    return units, ends
 
 
 def word_counts(parts: DataFrame) -> DataFrame:

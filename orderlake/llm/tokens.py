@@ -54,10 +54,15 @@ class WordEncoder:
         offsets = words.offsets.to_numpy(zero_copy_only=False)
         return ids, ends[offsets - offsets[0]]
 
-    def codes(self, words: list[str]) -> list[np.ndarray]:
-        """The ids of each of some words without white space."""
+    def flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words without white space in turn, and where each word's end."""
         self._learn(words)
-        return [np.frombuffer(self.recent[word], "<u4") for word in words]
+        codes = [self.recent[word] for word in words]
+        return np.frombuffer(b"".join(codes), "<u4"), np.cumsum(np.fromiter(map(len, codes), np.int64, len(codes)) // 4)
+
+    def forget(self) -> None:
+        """Give back the cache's memory."""
+        self.recent, self.older = {"": b""}, {}
 
     def _learn(self, words: list[str]) -> None:
         """Afterwards the recent generation holds all `words`."""
