@@ -376,3 +376,53 @@ def dim_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_flat_file(spark, base, "customer", "2024-01-05", silver_path, new_table("customer"))
     run_dimension(spark, silver_path, scratch_path(spark, "gold"), gold, "2024-01-06")
     return read_table(spark, gold).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+
+
+@check(
+    "upsert_null_partition",
+    """
+select o_orderkey,
+       case when o_orderkey % 3 = 0 then o_totalprice + 1 else o_totalprice end as o_totalprice,
+       case when o_orderkey % 3 <> 0 and o_orderstatus = 'F' then 'F' end as status
+from orders
+union all
+select -o_orderkey - 1, o_totalprice, null from orders where o_orderkey % 5 = 0
+""",
+)
+def upsert_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored rows with null and empty partition texts; new and moved rows with empty ones."""
+    name, path = new_table("orders"), scratch_path(spark, "orders")
+    orders = shop.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    status = F.col("o_orderstatus")
+    stored = F.when(status == "F", status).when(status == "O", F.lit(""))
+    upsert_table(
+        orders.withColumn("status", stored).drop("o_orderstatus"), name, path, ["o_orderkey"], ["status"]
+    )
+    moved = orders.filter("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    new = orders.filter("o_orderkey % 5 = 0").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    changes = moved.unionAll(new).withColumn("status", F.lit("")).drop("o_orderstatus")
+    upsert_table(changes, name, path, ["o_orderkey"], ["status"])
+    return read_table(spark, name)
+
+
+@check(
+    "upsert_nested_evolution",
+    """
+select o_orderkey,
+       case when o_orderkey % 2 = 0 then o_totalprice + 1 else o_totalprice end as price,
+       case when o_orderkey % 2 = 0 then null else o_orderpriority end as priority,
+       case when o_orderkey % 2 = 0 then o_custkey end as customer
+from orders
+""",
+)
+def upsert_nested_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New rows whose struct has a field that the table's lacks, and lacks one that it has."""
+    name, path = new_table("orders"), scratch_path(spark, "orders")
+    orders = shop.table(spark, sf_dir, "orders")
+    stored = F.struct(F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"))
+    upsert_table(orders.select("o_orderkey", stored.alias("info")), name, path, ["o_orderkey"])
+    changed = F.struct((F.col("o_totalprice") + 1).alias("price"), F.col("o_custkey").alias("customer"))
+    upsert_table(
+        orders.filter("o_orderkey % 2 = 0").select("o_orderkey", changed.alias("info")), name, path, ["o_orderkey"]
+    )
+    return read_table(spark, name).select("o_orderkey", "info.price", "info.priority", "info.customer")
