@@ -189,7 +189,9 @@ def read_records(spark: SparkSession, location: str, most: int = 1 << 22) -> Dat
                 with store.open_input_file(f"{folder}/{row['file']}.records") as source:
                     yield from _runs(source, index, row, most)
 
-    return manifest.repartition(F.col("shard")).mapInArrow(read, RECORD)
+    # A number is given, as the few manifest rows would else be joined into one task that reads all files.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.repartition(tasks, "shard").mapInArrow(read, RECORD)
 
 
 def _runs(source, index: np.ndarray, row: dict, most: int) -> Iterator[pa.RecordBatch]:
