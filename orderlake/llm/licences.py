@@ -179,7 +179,9 @@ def scan(docs: DataFrame, text_column: str = "text", rare_words: int = RARE_WORD
             )
         )
     )
-    rows = rows.withColumn("starts", starts)
+    # Asking for the size first keeps the optimizer from moving the words' intersection into the
+    # function over words, where it would be computed for each of them.
+    rows = rows.withColumn("starts", F.when(F.size("rare") >= AGREEING, starts).otherwise(F.array().cast("array<bigint>")))
     agreeing = F.array_distinct(
         F.filter("starts", lambda s, k: F.coalesce(F.get(F.col("starts"), k + (AGREEING - 1)) == s, F.lit(False)))
     )
