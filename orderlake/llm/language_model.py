@@ -12,10 +12,9 @@ What is learnt, all of it from training rows only:
 - Counts of words and units over all training rows, by shuffled sums. The words' counts give the
   base score. The units' counts decide which get slots in the output layer (the rest share one,
   divided by their counts) and give its biases, and their neighbours within words group the slots.
-- The model, first on windows drawn at a rate that makes PRETRAIN_UNITS of them expected (all, if there
-  are fewer), on the driver; then by all tasks, each on its share of windows from the same start,
-  whose models are averaged. That share is a fixed part of all windows, REFINE_SHARE, at least
-  REFINE_UNITS in all, so what the model learns from grows with the corpus.
+- The model, first a start on windows drawn at a rate that makes PRETRAIN_UNITS of them expected (all, if
+  there are fewer), on the driver; then by all tasks, each on all its training windows from that start,
+  whose models are averaged. So every training window gives a gradient, at any size of the corpus.
 
 Documents are worked on in chunks: the distinct words of some CHUNK_BYTES of text, and the texts as
 numbers of these. So a word is looked up once per chunk, not once per token.
@@ -48,8 +47,6 @@ CONTEXTS = 32
 PRETRAIN_UNITS = 2_500_000
 #: Units that pretraining passes over, in whole passes over its windows.
 PRETRAIN_WORK = 5_000_000
-REFINE_SHARE = 1 / 48
-REFINE_UNITS = 1_000_000
 RATE, REFINE_RATE = 4e-3, 5e-4
 #: Models are averaged in so many tasks before the driver gets them.
 AVERAGERS = 8
@@ -278,18 +275,32 @@ def pretrained(parts: DataFrame, units: Units, total: float) -> attention.Params
     return attention.fit(start, x.astype(np.int32), y.astype(np.int32), valid, SLOTS, RATE, passes, 3)
 
 
-def refined(parts: DataFrame, units: Units, start: attention.Params, total: float) -> attention.Params:
+def trained(batches: Iterator[pa.RecordBatch], place: np.ndarray, start: attention.Params) -> tuple[attention.Params, int]:
+    """The model after one pass over all training windows of some chunks, and how many these are.
+
+    Chunks are learnt from one after another, so the windows of only one are there at once; the rate
+    starts anew with each.
+    """
+    model, n = start, 0
+    for batch in batches:
+        for row in range(batch.num_rows):
+            drawn = [d for d in drawn_windows(iter([batch.slice(row, 1)]), place, 1.0, 2) if len(d[0])]
+            if drawn:
+                x, y, valid = (np.concatenate(c) for c in zip(*drawn, strict=True))
+                model = attention.fit(model, x, y, valid, SLOTS, REFINE_RATE, 1, 5)
+                n += len(x)
+    return model, n
+
+
+def refined(parts: DataFrame, units: Units, start: attention.Params) -> attention.Params:
     """The mean of models that all tasks train on from `start`, weighted by their windows."""
-    rate = max(REFINE_SHARE, min(1.0, REFINE_UNITS / max(total, 1)))
     place = units.place
     sent = parts.sparkSession.sparkContext.broadcast(start)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drawn = [d for d in drawn_windows(batches, place, rate, 2) if len(d[0])]
-        if drawn:
-            x, y, valid = (np.concatenate(c) for c in zip(*drawn, strict=True))
-            model = attention.fit(sent.value, x, y, valid, SLOTS, REFINE_RATE, 1, 5)
-            yield _model_row(model, len(x))
+        model, n = trained(batches, place, sent.value)
+        if n:
+            yield _model_row(model, n)
 
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = None, 0
@@ -411,7 +422,7 @@ def scored(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     kinds = 2 * word_encoder(tokenizer_path).tokenizer.get_vocab_size() + 1
     of_units = unit_counts(parts, kinds)
     units = Units(of_units, parts)
-    model = refined(parts, units, pretrained(parts, units, of_units.sum()), of_units.sum())
+    model = refined(parts, units, pretrained(parts, units, of_units.sum()))
     found = base_scores(parts, counts, n, v).join(model_scores(parts, units, model), ["chunk", "row"])
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"

@@ -156,3 +156,28 @@ def test_language_model(spark, monkeypatch):
     assert sorted(found, key=repr) == sorted(expected, key=repr)
     assert {r.train_tokens for r in got} == {n} and all(r.score < 0 and math.isfinite(r.score) for r in got)
     assert language_model.scored(docs.limit(0), PATH).collect() == []
+
+
+def test_every_training_window_gives_a_gradient(spark, monkeypatch):
+    draw = random.Random(6)
+    rows = [(k, " ".join(draw.choice(["ther", "onan", "inre"]) for _ in range(draw.choice([1, 90, 400]))), k % 4 == 0) for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").coalesce(1)
+    parts = language_model.chunks(docs, PATH).union(language_model.chunks(docs.filter("doc_id > 30"), PATH)).toArrow()
+    place = np.arange(200_000, dtype=np.int32) % (language_model.GROUPS * language_model.SLOTS)
+    wanted = 0
+    for batch in parts.to_batches():
+        for row in range(batch.num_rows):
+            chunk = language_model.arrays(batch, row)
+            learnt = np.flatnonzero(~np.array(chunk["held_out"].as_py()))
+            wanted += sum(map(len, language_model.sequences(chunk, place, learnt)))
+    seen = []
+
+    def fit(model, x, y, valid, slots, rate, passes, seed):
+        seen.append((valid.sum(), passes))
+        return model
+
+    monkeypatch.setattr(attention, "fit", fit)
+    # A corpus of any size: what a task learns from does not depend on the total.
+    model, n = language_model.trained(iter(parts.to_batches()), place, {"start": 1})
+    assert model == {"start": 1} and n > 0 and len(seen) == 2  # chunk by chunk
+    assert sum(v for v, _ in seen) == wanted and {p for _, p in seen} == {1}
