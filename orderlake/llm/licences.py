@@ -1,11 +1,13 @@
 """Licence scan by a positional index of rare words.
 
 The licence texts are templates: word sequences, some of whose phrases are mandatory. Every template
-word has an inverse document frequency (IDF) over all documents scanned. For a file, its
-licence words of highest IDF are looked up in an index of postings (template, place); a hit at word
-i of the file and place j of a template means the template might start at i - j. A start on which
-several rare words agree is an alignment; it counts if the mandatory phrases stand where the
-template has them. Its score is the IDF share of template words that stand in their places.
+word has an inverse document frequency (IDF) over all documents scanned. The index has postings
+(template, place) of each template's own places of highest IDF, those of its mandatory phrases always,
+so that no template's words are crowded out by another's. A hit at word i of the file and place j of a
+template means the template might start at i - j. A start on which several rare words agree is an
+alignment; it counts if the mandatory phrases stand where the template has them, and as AGREEING places of
+these are posted, no such start is missed. Its score is the IDF share of template words that stand in
+their places.
 
 All of this is array functions within a row: files are not shuffled, and the only aggregate has one
 row per template word.
@@ -88,8 +90,6 @@ TEMPLATES = [
     ),
 ]
 
-#: Rare words of a file that are looked up.
-RARE_WORDS = 24
 #: Places of rare words that have to agree on a start. A mandatory phrase has more.
 AGREEING = 2
 #: IDF share of the template that has to stand in its place.
@@ -118,7 +118,14 @@ def document_frequencies(docs: DataFrame, text_column: str = "text") -> tuple[in
     return found.pop("", 0), found
 
 
-def scan(docs: DataFrame, text_column: str = "text", rare_words: int = RARE_WORDS) -> DataFrame:
+def posted(text: str, phrases: list[str], idf: dict[str, float]) -> list[int]:
+    """A template's places in the index: the AGREEING rarest of its mandatory phrases."""
+    words = text.split()
+    inside = {at + k for phrase, at in zip(phrases, _stands(words, phrases), strict=True) for k in range(len(phrase.split()))}
+    return sorted(sorted(inside, key=lambda j: (-idf[words[j]], j))[:AGREEING])
+
+
+def scan(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """`docs` with n_words, base_places, alignments, base_labels, labels and score added.
 
     base_places has (label, first) for each place of a base phrase; alignments has (label, first,
@@ -129,22 +136,15 @@ def scan(docs: DataFrame, text_column: str = "text", rare_words: int = RARE_WORD
     """
     n, frequency = document_frequencies(docs, text_column)
     idf = {w: log((n + 1) / (frequency.get(w, 0) + 1)) + 1e-3 for w in VOCABULARY}
-    by_rarity = sorted(VOCABULARY, key=lambda w: (-idf[w], w))
+    index: dict[str, list[tuple[int, int]]] = {}
+    for t, (_, text, phrases) in enumerate(TEMPLATES):
+        for j in posted(text, phrases, idf):
+            index.setdefault(text.split()[j], []).append((t, j))
     postings = F.create_map(
         *[
             column
-            for w in VOCABULARY
-            for column in (
-                F.lit(w),
-                F.array(
-                    *[
-                        F.struct(F.lit(t).alias("t"), F.lit(j).alias("j"))
-                        for t, (_, text, _) in enumerate(TEMPLATES)
-                        for j, other in enumerate(text.split())
-                        if other == w
-                    ]
-                ),
-            )
+            for w, places in index.items()
+            for column in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(j).alias("j")) for t, j in places]))
         ]
     )
     templates = F.array(*[_template(*entry, idf) for entry in TEMPLATES])
@@ -163,8 +163,8 @@ def scan(docs: DataFrame, text_column: str = "text", rare_words: int = RARE_WORD
         F.when(suspect, words_of(low)).otherwise(none).alias("words"),
     )
     words = F.col("words")
-    present = F.array_intersect(F.array(*map(F.lit, by_rarity)), words)  # in the first array's order
-    rows = rows.withColumn("rare", F.slice(present, 1, rare_words)).withColumn("base_places", _base_places(words))
+    present = F.array_intersect(F.array(*map(F.lit, index)), words)
+    rows = rows.withColumn("rare", present).withColumn("base_places", _base_places(words))
     hits = F.filter(
         F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
         lambda h: F.array_contains(F.col("rare"), h["w"]),
@@ -213,10 +213,7 @@ def scan(docs: DataFrame, text_column: str = "text", rare_words: int = RARE_WORD
 def _template(label: str, text: str, phrases: list[str], idf: dict[str, float]) -> Column:
     words = text.split()
     total = sum(idf[w] for w in words)
-    mandatory = []
-    for phrase in phrases:
-        own = phrase.split()
-        mandatory.append(next(j for j in range(len(words)) if words[j : j + len(own)] == own))
+    mandatory = _stands(words, phrases)
     return F.struct(
         F.lit(label).alias("label"),
         F.array(*[F.struct(F.lit(w).alias("w"), F.lit(idf[w] / total).alias("share")) for w in words]).alias("words"),
@@ -229,6 +226,12 @@ def _template(label: str, text: str, phrases: list[str], idf: dict[str, float])
     )
 
 
+def _stands(words: list[str], phrases: list[str]) -> list[int]:
+    """Where the template has each phrase."""
+    owns = [phrase.split() for phrase in phrases]
+    return [next(j for j in range(len(words)) if words[j : j + len(own)] == own) for own in owns]
+
+
 def _parts(start: Column, templates: Column) -> tuple[Column, Column]:
     template = templates[F.shiftright(start, 33).cast("int")]
     return template, (start.bitwiseAND(F.lit((1 << 33) - 1)) - 1000).cast("int")

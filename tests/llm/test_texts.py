@@ -1,6 +1,7 @@
 """Prefix hashes, line dedup, licences, chat pairs, decontamination: against brute force."""
 
 import hashlib
+import math
 import random
 
 import duckdb
@@ -169,6 +170,49 @@ def test_licences(spark):
     assert licences.scan(docs.limit(0)).collect() == []
 
 
+def test_no_licence_is_crowded_out_by_another(spark):
+    """Two licences in a file, and a text with every template word, among many that make the GPL's words common."""
+    mit = licences.TEMPLATES[2][1]
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    all_words = " ".join(licences.VOCABULARY)
+    apache = next(text for label, text, _ in licences.TEMPLATES if label == "apache-2")
+    rows = [(1, f"{mit}. {gpl}"), (2, f"{all_words} " * 200 + gpl), (3, f"{all_words} {apache} x {all_words}")]
+    rows += [(10 + k, "gnu general public licensed under the work is this version 3") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in licences.scan(docs).collect()}
+    assert found[1].labels == ["gpl-3", "mit"] and "gpl-3" in found[2].labels and "apache-2" in found[3].labels
+    assert {r.label for r in found[1].alignments} == {"gpl-3", "mit"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_alignments_equal_all_starts(spark, seed):
+    """Every start with all mandatory phrases and score enough, by brute force, from mutilated templates."""
+    draw = random.Random(seed)
+    rows = []
+    for k in range(60):
+        words = []
+        for _ in range(draw.randint(1, 5)):
+            part = draw.choice(licences.TEMPLATES)[1].split()
+            words += [w if draw.random() < 0.95 else draw.choice(licences.VOCABULARY) for w in part]
+            words += draw.choices(licences.VOCABULARY, k=draw.randint(0, 9))
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    n, frequency = licences.document_frequencies(docs)
+    idf = {w: math.log((n + 1) / (frequency.get(w, 0) + 1)) + 1e-3 for w in licences.VOCABULARY}
+    found = {r.doc_id: r for r in licences.scan(docs).collect()}
+    for k, text in rows:
+        words, expected = text.split(), []
+        for label, template, phrases in licences.TEMPLATES:
+            own = template.split()
+            stands = [" ".join(own).split(p)[0].count(" ") for p in phrases]
+            for i in range(-len(own), len(words)):
+                at = lambda j: words[i + j] if 0 <= i + j < len(words) else None  # noqa: B023, E731
+                if all(at(s + m) == w for s, p in zip(stands, phrases, strict=True) for m, w in enumerate(p.split())):
+                    score = sum(idf[w] for j, w in enumerate(own) if at(j) == w) / sum(idf[w] for w in own)
+                    expected += [(label, i, round(score, 6))] if score >= licences.LEAST_SCORE else []
+        assert sorted((a.label, a.first, round(a.score, 6)) for a in found[k].alignments) == sorted(expected)
+
+
 def test_every_label_needs_a_telltale():
     phrases = [[p] for p in licences.BASE_PHRASES.values()] + [mandatory for _, _, mandatory in licences.TEMPLATES]
     assert all(any(t in p for p in options for t in licences.TELLTALES) for options in phrases)
