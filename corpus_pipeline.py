@@ -31,11 +31,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without lines on over a tenth of their source's documents; n_chars anew.
+    """All documents without the lines that their source repeats; n_chars anew.
 
+    These are lines on over a tenth of the source's documents and, as a source may be a third of the
+    corpus, passages (lines of PASSAGE_WORDS words and more) on three of its documents of unequal text.
     A document of such lines only is kept with an empty text.
     """
-    kept = line_dedup.drop_boilerplate(docs, F.col("source"))
+    kept = line_dedup.drop_boilerplate(docs, F.col("source"), long_words=line_dedup.PASSAGE_WORDS)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -1,7 +1,9 @@
 """Lines that a site repeats on many of its pages.
 
 For each host, the pages that contain a line are divided by the host's pages; lines over a ratio are
-boilerplate and dropped from every page of the host. Only DataFrame functions are used.
+boilerplate and dropped from every page of the host. Only DataFrame functions are used. A share rises
+with the host, and a long passage does not recur by chance on any number of pages, so lines of some length
+can be held to the least number of pages alone.
 
 A line is named by two 64-bit hashes, so its text is not shuffled. Counting is by (host, line) with
 partial sums, which spreads a host with very many pages. What comes back to the pages is one row per
@@ -20,6 +22,8 @@ from orderlake.llm.tables import staged
 RATIO = 0.1
 #: A line on fewer pages is never boilerplate, whatever its share of a small host.
 LEAST_PAGES = 3
+#: Words of a line, between white space, that make it a passage (for callers that ask for `long_words`).
+PASSAGE_WORDS = 50
 
 SKIPPED_HTML = r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->"
 BLOCK_TAGS = (
@@ -47,6 +51,7 @@ def drop_boilerplate(
     ratio: float = RATIO,
     least_pages: int = LEAST_PAGES,
     counts: bool = False,
+    long_words: int | None = None,
 ) -> DataFrame:
     """`docs` without the boilerplate lines of each row's host.
 
@@ -55,6 +60,10 @@ def drop_boilerplate(
     own, and a text of boilerplate only becomes empty. Kept lines stay as they were. Repeated rows
     count as pages of their own. With `counts`, columns `n_lines` (lines that are not blank) and
     `n_dropped` are added, and replace such columns of `docs`.
+
+    With `long_words`, a line of at least so many words is boilerplate on `least_pages` pages of a host
+    whatever their share. For this rule, pages of equal text are one page: a passage that only copies of a
+    whole page have in common is left to a search for copies, which keeps one.
     """
     rows = docs.select(
         F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias("row"),
@@ -62,13 +71,23 @@ def drop_boilerplate(
         F.split(F.col(_quoted(text_column)), "\n").alias("lines"),
     )
     names = F.transform("lines", lambda line: F.trim(line))
-    seen = (
-        rows.select("host", F.explode(F.array_distinct(names)).alias("line"))
-        .filter("line <> ''")
-        .select("host", _name(F.col("line")).alias("name"))
-    )
     pages = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    common = seen.groupBy("host", "name").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
+    seen = rows.select("host", F.explode(F.array_distinct(names)).alias("line"))
+    if long_words is not None:
+        rows = rows.withColumn("of", _name(F.array_join("lines", "\n")))
+        # The text is named for long lines only, so that others are summed up as without the rule.
+        is_long = F.size(F.filter(F.split("line", r"\s+"), lambda w: w != "")) >= long_words
+        seen = rows.select("host", "of", F.explode(F.array_distinct(names)).alias("line")).withColumn(
+            "of", F.when(is_long, F.col("of"))
+        )
+    seen = seen.filter("line <> ''").withColumn("name", _name(F.col("line"))).drop("line")
+    common = seen.groupBy("host", "name").agg(F.count("*").alias("n"))
+    if long_words is not None:
+        of_text = seen.groupBy("host", "name", "of").agg(F.count("*").alias("n"))
+        common = of_text.groupBy("host", "name").agg(F.sum("n").alias("n"), F.count("of").alias("texts"))
+    common = common.filter(F.col("n") >= least_pages)
+    if long_words is not None:
+        common = staged(common, "repeated-lines")
     boilerplate = staged(
         common.join(pages, "host")
         .filter(F.col("n") > ratio * F.col("pages"))
@@ -77,9 +96,21 @@ def drop_boilerplate(
         "boilerplate",
     )
     told = rows.join(boilerplate, "host", "left")
-    kept = F.when(
-        F.col("boilerplate").isNull(), F.col("lines")
-    ).otherwise(F.filter("lines", lambda line: ~F.array_contains(F.col("boilerplate"), _name(F.trim(line)))))
+    goes = lambda line: F.coalesce(F.array_contains("boilerplate", _name(F.trim(line))), F.lit(False))
+    if long_words is None:
+        some = F.col("boilerplate").isNotNull()
+        dropped = goes
+    else:
+        # Passages may be many, so a page is told only its own; pages of equal text have equal ones.
+        passages = common.filter(F.col("texts") >= least_pages).select("host", "name")
+        own = seen.filter("of is not null").join(passages, ["host", "name"])
+        own = own.groupBy("host", "of").agg(F.collect_set("name").alias("passages"))
+        told = told.join(own, ["host", "of"], "left")
+        some = F.col("boilerplate").isNotNull() | F.col("passages").isNotNull()
+        dropped = lambda line: goes(line) | F.coalesce(
+            F.array_contains("passages", _name(F.trim(line))), F.lit(False)
+        )
+    kept = F.when(some, F.filter("lines", lambda line: ~dropped(line))).otherwise(F.col("lines"))
     shown = F.size(F.filter("lines", lambda line: F.trim(line) != ""))
     none = F.col("lines").isNull()
     done = told.select(

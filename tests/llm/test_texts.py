@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import orderlake.llm.queries  # noqa: F401
 from orderlake.llm import chat, decontaminate, licences, line_dedup, prefix_hash
 from orderlake.llm.registry import ORACLE_SQL, QUERIES
@@ -116,6 +117,23 @@ def test_boilerplate(spark):
     assert line_dedup.drop_boilerplate(docs.limit(0), F.col("host")).collect() == []
 
 
+def test_passages_of_a_large_source(spark):
+    """A passage on some tens of thousands of documents goes; copies of a whole document and short lines stay."""
+    words = lambda n, seed: " ".join(f"w{seed}x{k}" for k in range(n))
+    passage, short, copied, rare = words(60, 1), words(49, 2), words(80, 3), words(70, 4)
+    rows = [(k, "big", f"own {k}" + f"\n {passage} " * (k % 100 == 0) + f"\n{short}" * (k % 50 == 1)) for k in range(4000)]
+    rows += [(5000 + k, "big", f"{copied}\nend") for k in range(9)] + [(6000 + k, "big", f"{rare}\n{k}") for k in range(2)]
+    rows += [(7000, "other", passage), (7001, "big", None), (7002, None, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    docs = docs.withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long"))
+    stage = dict(corpus_pipeline.STAGES)["line dedup"]
+    found = {r.doc_id: r.text for r in stage(spark, docs, SMALL).collect()}
+    expected = {i: t if i == 7000 or i == 7002 or t is None else t.replace(f"\n {passage} ", "") for i, _, t in rows}
+    assert found == expected
+    plain = line_dedup.drop_boilerplate(docs, F.col("source"), counts=True).agg(F.sum("n_dropped")).first()[0]
+    assert plain == 0
+
+
 def test_html_lines_and_hosts(spark):
     html = "<p class='a'>One<br/>Two <b>bold</b></p><script>var t='</p>';</script><!-- <p>no</p> --><pre>x</pre>"
     row = spark.createDataFrame([(html, "HTTPS://M.Example.org:80/a?b"), (None, "nothing")], "h string, u string").select(
