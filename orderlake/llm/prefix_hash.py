@@ -10,6 +10,10 @@ the multiples of a power of two, and of suffixes likewise; the power is the smal
 most `RUNGS` of them. Equal texts have equal fingerprints, texts of another length or hash other
 ones. Two fingerprints are likened by binary search for the longest common prefix and suffix among
 the rungs that both have: their length over the longer text's is the likeness, 1 for equal texts.
+
+Where both texts' prefix arrays are at hand, the likeness is by shared spans at any place: past each
+difference, the next place at which SPAN code points are in both texts, in order, is found by their
+hashes and extended to either side. Common spans of 2 * SPAN - 1 code points hold such a place.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ MODULI = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 #: Most prefixes, and most suffixes, that a fingerprint holds.
 RUNGS = 32
+#: Code points whose hashes are looked up in the other text.
+SPAN = 16
 
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -45,6 +51,19 @@ def powers(k: int, n: int) -> np.ndarray:
     return known[:n]
 
 
+_inverses: list[np.ndarray] = [np.ones(1, np.uint64)]
+
+
+def inverses(n: int) -> np.ndarray:
+    """B^0 .. B^-(n-1) by the first modulus; kept like powers."""
+    known = _inverses[0]
+    while len(known) < n:
+        step = np.uint64(pow(BASES[0], -len(known), MODULI[0]))
+        known = np.concatenate([known, known * step % np.uint64(MODULI[0])])
+    _inverses[0] = known
+    return known[:n]
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), "<u4")
 
@@ -55,6 +74,7 @@ class PrefixHashes:
     def __init__(self, codes: np.ndarray):
         self.n = len(codes)
         self.arrays = []
+        self._spans: np.ndarray | None = None
         values = codes.astype(np.uint64) + np.uint64(1)
         for k, modulus in enumerate(MODULI):
             terms = values * powers(k, self.n) % np.uint64(modulus)
@@ -91,6 +111,66 @@ class PrefixHashes:
                 high = middle - 1
         return low
 
+    def extension_back(self, end: int, other: PrefixHashes, at: int, most: int) -> int:
+        """Length of the longest common extension to the left of the two positions, `most` at most."""
+        low, high = 0, most
+        while low < high:
+            middle = (low + high + 1) // 2
+            if self.equal(end - middle, other, at - middle, middle):
+                low = middle
+            else:
+                high = middle - 1
+        return low
+
+    def spans(self) -> np.ndarray:
+        """Hashes by the first modulus of SPAN code points from every place; kept."""
+        if self._spans is None:
+            sums, modulus = self.arrays[0], np.uint64(MODULI[0])
+            there = max(self.n - SPAN + 1, 0)
+            sums = (sums[SPAN : SPAN + there] + modulus - sums[:there]) % modulus
+            self._spans = sums * inverses(there) % modulus
+        return self._spans
+
+    def shared(self, other: PrefixHashes) -> int:
+        """Code points in common spans that follow each other in both texts.
+
+        These are the common prefix and suffix and, between them, from left to right the nearest spans.
+        """
+        total = self.extension(0, other, 0)
+        i = j = total
+        suffix = self.extension_back(self.n, other, other.n, min(self.n, other.n) - total)
+        end, other_end = self.n - suffix, other.n - suffix
+        first = -(-j // SPAN) * SPAN
+        keys = other.spans()[first : max(other_end - SPAN + 1, 0) : SPAN]
+        own = self.spans()[i : max(end - SPAN + 1, 0)]
+        if not len(keys) or not len(own):
+            return total + suffix
+        order = np.argsort(keys, kind="stable")  # places of equal hashes ascend
+        keys, base = keys[order], i
+        at = np.searchsorted(keys, own)
+        for k in np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == own):
+            start = base + int(k)
+            if start < i:
+                continue
+            low, high = at[k], np.searchsorted(keys, own[k], side="right")
+            nearest = low + np.searchsorted(order[low:high], -(-(j - first) // SPAN))
+            if nearest == high:
+                continue
+            place = first + int(order[nearest]) * SPAN
+            n = min(self.extension(start, other, place), end - start, other_end - place)
+            if n < SPAN:
+                continue  # not equal by the second modulus
+            total += n + self.extension_back(start, other, place, min(start - i, place - j))
+            i, j = start + n, place + n
+        return total + suffix
+
+    def likeness(self, other: PrefixHashes) -> float:
+        """1 for equal texts, else the shared spans over the longer text's length."""
+        longest = max(self.n, other.n)
+        if self.n == other.n and self.equal(0, other, 0, self.n):
+            return 1.0
+        return min(self.shared(other), longest - 1) / longest
+
     def fingerprint(self) -> Fingerprint:
         n, step = self.n, 1
         while n // step > RUNGS:
@@ -270,8 +350,8 @@ def edited_by_successor(
                 hashes = PrefixHashes(codes)
                 mark = hashes.fingerprint()
                 if last is not None and last[0] == block:
-                    out.append(_edited(*last[1:], codes, mark))
-                last = None if ahead else (block, doc_id, codes, mark)
+                    out.append(_edited(*last[1:], codes, hashes, mark))
+                last = None if ahead else (block, doc_id, codes, hashes, mark)
             columns = list(zip(*out, strict=True)) or [()] * len(schema)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
@@ -295,12 +375,15 @@ def edited_by_successor(
     return known.unionAll(nameless)
 
 
-def _edited(doc_id: int, codes: np.ndarray, mark: Fingerprint, following: np.ndarray, next_mark: Fingerprint) -> tuple:
+def _edited(
+    doc_id: int, codes: np.ndarray, hashes: PrefixHashes, mark: Fingerprint,
+    following: np.ndarray, next_hashes: PrefixHashes, next_mark: Fingerprint,
+) -> tuple:
     half = len(codes) // 2
     edited = np.concatenate([codes[: len(codes) - half], following[:half]])
-    edited_mark = PrefixHashes(edited).fingerprint()
+    edited_hashes = PrefixHashes(edited)
     digest = hashlib.sha256(edited.tobytes().decode("utf-32-le").encode()).hexdigest()
     return (
-        doc_id, len(codes), digest, str(mark), str(edited_mark),
-        mark.likeness(edited_mark), mark.likeness(next_mark), str(next_mark),
+        doc_id, len(codes), digest, str(mark), str(edited_hashes.fingerprint()),
+        hashes.likeness(edited_hashes), hashes.likeness(next_hashes), str(next_mark),
     )

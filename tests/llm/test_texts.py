@@ -87,6 +87,31 @@ def test_edited_by_successor(spark):
     assert [(r.doc_id, r.near_next) for r in one] == [(201, 1.0)]
 
 
+def test_near_copies_share_spans_between_edits(spark):
+    """A long copy with edits at both ends and scattered over the middle, one that shifts what follows."""
+    draw = random.Random(3)
+    text = "".join(draw.choice("abcdefgh ") for _ in range(120_000))
+    copy = "X" + text[1:40_000] + "inserted" + text[40_000:80_000] + text[80_100:-1] + "Y"
+    for k in range(5_000, 115_000, 10_000):
+        copy = copy[:k] + "#" + copy[k + 1 :]
+    docs = spark.createDataFrame([(1, text), (2, copy), (3, text[::-1])], "doc_id long, text string")
+    found = {r.doc_id: r for r in prefix_hash.edited_by_successor(docs, blocks=2).collect()}
+    assert 0.99 < found[1].near_next < 1 and found[2].near_next < 0.01
+
+
+@given(texts, texts)
+@settings(max_examples=200, deadline=None)
+def test_shared_spans_are_common_subsequences(a, b):
+    a, b = a + b[:40] + "!" + a, b + a[:40] + "?" + a
+    x, y = (prefix_hash.PrefixHashes(prefix_hash.code_points(t)) for t in (a, b))
+    common = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, c in enumerate(a):
+        for j, d in enumerate(b):
+            common[i + 1][j + 1] = common[i][j] + 1 if c == d else max(common[i][j + 1], common[i + 1][j])
+    assert x.shared(y) <= common[-1][-1]
+    assert 0 <= x.likeness(y) <= 1 and (x.likeness(y) == 1) == (a == b)
+
+
 def test_common_extensions(spark):
     rows = [("xxabc", "abd", 2, 0), (None, "a", 0, 0), ("a", "a", None, 0), ("a", "a", 9, 0), ("é" * 1000, "é" * 999, 0, 0)]
     df = spark.createDataFrame(rows, "a string, b string, i long, j long")
