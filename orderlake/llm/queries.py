@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from orderlake.llm import (
     chat,
+    conversation_trie,
     decontaminate,
+    inner_products,
     language_model,
     licences,
     line_dedup,
     packing,
+    pivot_codes,
     prefix_hash,
     simhash,
     sql,
@@ -102,3 +105,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_benchmark_decontamination")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_conversation_trie", sql.CONVERSATION_TRIE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.turns_in_order(table(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(*conversation_trie.rebuilt(turns, group=100, heads=6))
+
+
+@query("op12_exact_top_k", sql.EXACT_TOP_K)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inner_products.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+@query("op13_vector_codes", sql.VECTOR_CODES)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = pivot_codes.codes(table(spark, sf_dir, "embeddings"), scale=1024)
+    found = pivot_codes.with_label_errors(coded).withColumn("codebooks_sha256", F.lit(pivot_codes.digest(books)))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
