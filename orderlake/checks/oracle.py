@@ -70,10 +70,8 @@ DOCS = f"with {_DOCS} "
 PROMOTIONS = f"with {_DOCS}, {_KEPT}, {_PROMOTIONS} "
 DOC_ENTRIES = f"with {_DOCS}, {_ENTRIES.format(source='docs')} "
 KEPT_ENTRIES = f"with {_DOCS}, {_KEPT}, {_ENTRIES.format(source='kept')}, {_PROMOTIONS} "
-FACT = (
-    f"with docs as ({_T['documents']}), rates as ({_T['rates']}), consumers as ({_T['consumers']}), "
-    f"silver as ({_T['silver']}) "
-)
+LOOKUPS = f"with rates as ({_T['rates']}), consumers as ({_T['consumers']})"
+FACT = f"{LOOKUPS}, docs as ({_T['documents']}), silver as ({_T['silver']}) "
 SILVER = f"with silver as ({_T['silver']}) "
 
 

@@ -13,10 +13,10 @@ from orderlake.checks.registry import check
 from orderlake.operators.quality import split_missing
 from orderlake.plans.flat_file import run_dimension, run_flat_file
 from orderlake.scratch import scratch_path
+from orderlake.sinks.quarantine import quarantine_missing
 from orderlake.sinks.tables import (
     guarded_overwrite,
     overwrite_table,
-    quarantine_missing,
     replace_slice,
     upsert_table,
 )

@@ -20,6 +20,7 @@ from orderlake.functions.sales import (
 )
 from orderlake.operators import columns
 from orderlake.operators.aggregates import distinct_rows, distinct_values, joined_values
+from orderlake.operators.counts import observed
 from orderlake.operators.joins import left_join, lookup_join
 from orderlake.operators.latest import latest_rows
 from orderlake.operators.nested import flatten, last_element, split_to_rows
@@ -206,7 +207,10 @@ def nonempty_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("count_rows", "select count(*) as orders from orders")
 def count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shop.table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("orders"))
+    """Counted while the rows are written, without a pass of its own."""
+    rows, counted = observed(shop.table(spark, sf_dir, "orders"), orders=F.count(F.lit(1)))
+    rows.write.parquet(scratch_path(spark, "orders"))
+    return spark.createDataFrame([(counted.get["orders"],)], "orders long")
 
 
 # --- nested data ---------------------------------------------------------------------------
@@ -558,7 +562,7 @@ _NAMED = f"case when {_STEP} is not null then e.o_orderdate end"
 _KEY = "substr(e.code, 2)"
 _TAX = "cast(e.l_tax as varchar)"
 
-_SILVER_SQL = (
+SILVER_FROM = (
     oracle.KEPT_ENTRIES
     + f"""
 select distinct e.code as order_number, e.entry_number as entries_entry_number,
@@ -613,7 +617,7 @@ where e.entry_number is not null and e.product is not null"""
 )
 
 
-@check("orders_silver", _SILVER_SQL)
+@check("orders_silver", SILVER_FROM)
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 68 silver columns, distinct and guarded as the upsert sink takes them.
 
@@ -633,9 +637,7 @@ _FACT_TEXT = {
     "mp_flag": "case when regexp_matches(fs_channel_code, '(MP)') then 'True' else 'False' end",
 }
 
-_FACT_SQL = (
-    oracle.FACT
-    + f""", ranked as (
+_FACT_STEPS = f""", ranked as (
   select *, rank() over (partition by order_number order by event_date desc nulls last) as position
   from silver),
 netted as (
@@ -648,7 +650,11 @@ fact as (
 select distinct * from fact
 where order_number is not null and event_date is not null and entries_entry_number is not null
   and entries_product_code is not null"""
-)
+
+_FACT_SQL = oracle.FACT + _FACT_STEPS
+
+#: The fact of a silver table that a query gives.
+FACT_FROM = oracle.LOOKUPS + ", silver as ({silver})" + _FACT_STEPS.replace("{", "{{").replace("}", "}}")
 
 
 @check("orders_fact", _FACT_SQL)

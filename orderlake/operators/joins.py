@@ -47,13 +47,20 @@ def refuse_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"several rows for one key in {list(keys)}")
 
 
-def lookup_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, salts: int = 1) -> DataFrame:
+def lookup_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, salts: int = 1, unique_right: bool = False
+) -> DataFrame:
     """Left outer join with a code table on differently named keys.
 
+    `unique_right=True` refuses a table with several rows for one key (one aggregation of it).
+
     Spark broadcasts the table if its size is under the session's threshold. For a table that is
     not, and few keys, give `salts`: left rows are dealt over so many buckets and right rows are
-    repeated once per bucket, so no key holds one task. Nothing runs while the plan is built.
+    repeated once per bucket, so no key holds one task. Without `unique_right` nothing runs while the
+    plan is built.
     """
+    if unique_right:
+        refuse_duplicate_keys(right, [right_key])
     same_key = F.col(quote(left_key)) == F.col(quote(right_key))
     if salts <= 1:
         return left.join(right, same_key, "left")

@@ -11,6 +11,8 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
+from urllib.parse import unquote
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from orderlake.operators.columns import quote
-from orderlake.operators.quality import require_present, split_missing
+from orderlake.operators.counts import observed
+from orderlake.operators.joins import left_join
+from orderlake.operators.quality import any_missing, require_present
 from orderlake.operators.upsert import conformed, merged_type, upsert
-from orderlake.scratch import scratch_path
+from orderlake.scratch import delete_paths, staging
 
 
 def ensure_database(spark: SparkSession, table: str) -> None:
@@ -62,9 +66,69 @@ def guarded_overwrite(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     schema_mode: str = "merge",
-) -> None:
-    """Replace a table with the distinct rows that have no null key."""
-    overwrite_table(guarded(df, keys), table, path, partition_by, schema_mode)
+    counts: bool = False,
+) -> dict[str, int] | None:
+    """Replace a table with the distinct rows that have no null key.
+
+    With `counts` it returns how many rows came (`rows`), how many had a null key (`missing`) and how
+    many were written (`written`). They are counted in passing, without a second pass; only the key
+    filter can then not move below the count of what came.
+    """
+    if not counts:
+        overwrite_table(guarded(df, keys), table, path, partition_by, schema_mode)
+        return None
+    rows = F.count(F.lit(1))
+    df, came = observed(df, rows=rows, missing=F.count_if(any_missing(keys)))
+    df, left = observed(guarded(df, keys), written=rows)
+    overwrite_table(df, table, path, partition_by, schema_mode)
+    return {**came.get, **left.get}
+
+
+def swap_table(df: DataFrame, table: str, path: str, schema_mode: str = "replace") -> None:
+    """Replace a table without partitions so that readers by name see the old rows or the new ones.
+
+    The rows go to a new folder below `path`, and the table's location is set to it when they are all
+    there; a write that fails leaves the table as it was. Folders of versions before the one replaced are
+    deleted, so a query that began on that one can end. Read such a table by its name, not by path.
+    A schema that lacks or changes columns of the table's needs the table to be entered anew, between
+    which a reader may not find it.
+    """
+    if schema_mode not in ("replace", "merge"):
+        raise ValueError("schema_mode must be 'replace' or 'merge'")
+    spark = df.sparkSession
+    ensure_database(spark, table)
+    known = spark.catalog.tableExists(table)
+    before = None
+    if known:
+        _refuse_other_layout(spark, table, path, ())
+        before = _location(spark, table)
+        if schema_mode == "merge":
+            df = _with_columns_of(df, spark.table(table).schema)
+    fresh = f"{path.rstrip('/')}/{_VERSION}{uuid4().hex}"
+    df.write.parquet(fresh)
+    if known:
+        add_columns(spark, table, df.schema)
+    if known and _same_columns(spark.table(table).schema, df.schema):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(fresh)}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        _enter(spark, table, fresh, (), df.schema)
+    spark.catalog.refreshTable(table)
+    _delete_versions(spark, path, keep=(fresh, before))
+
+
+_VERSION = "version-"
+
+
+def _same_columns(a: StructType, b: StructType) -> bool:
+    return {f.name.lower(): f.dataType for f in a.fields} == {f.name.lower(): f.dataType for f in b.fields}
+
+
+def _delete_versions(spark: SparkSession, path: str, keep: Sequence[str | None]) -> None:
+    every = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{_VERSION}*")
+    found = every.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(every)
+    kept = {_place(p) for p in keep if p}
+    delete_paths(spark, [p for f in found or () if _place(p := f.getPath().toString()) not in kept])
 
 
 def guarded(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -103,17 +167,18 @@ def replace_slice(df: DataFrame, table: str, path: str, slice_values: Mapping[st
     if not attach_table(spark, table, path, parts, df.schema):
         overwrite_table(checked, table, path, parts)
         return
-    # Computed once: the copy is asked whether it has rows and is then what is written.
-    checked = _staged(checked, "slice")
-    if checked.isEmpty():
-        _empty_partition(spark, table, slice_values)
-        return
-    add_columns(spark, table, df.schema)
-    _overwrite_partitions(checked, table, path, parts)
+    with staging(spark) as staged:
+        # Computed once: the copy is asked whether it has rows and is then what is written.
+        checked = staged(checked, "slice")
+        if checked.isEmpty():
+            _empty_partition(spark, table, slice_values)
+            return
+        add_columns(spark, table, df.schema)
+        _overwrite_partitions(checked, table, path, parts)
 
 
 def upsert_table(
-    df: DataFrame, table: str, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()
+    df: DataFrame, table: str, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), swap: bool = False
 ) -> None:
     """Create the table, or update and insert by key (`operators.upsert`).
 
@@ -121,44 +186,129 @@ def upsert_table(
     table. The result is staged in the shared folder and then written over the table, because
     a folder cannot be read and overwritten in one job; if that last step fails, the staged
     table is whole. With partitions, only those that hold matched rows or receive source rows
-    are read for the update and rewritten.
+    are read for the update and rewritten. A table without partitions may be swapped instead
+    (`swap_table`), which needs no staged result.
     """
     spark = df.sparkSession
     keys, parts = list(keys), list(partition_by)
+    if swap and parts:
+        raise ValueError("a table with partitions is not swapped: its partitions are replaced at the commit of a job")
     source = storable(guarded(df, keys), parts)
     ensure_database(spark, table)
+    if swap and not spark.catalog.tableExists(table):
+        swap_table(source, table, path)
+        return
     if not attach_table(spark, table, path, parts, df.schema):
         overwrite_table(source, table, path, parts)
         return
 
-    # The source is used several times below; a staged copy is computed once.
-    source = _staged(source, "upsert-source")
-    target = spark.table(table)
-    touched = _touched_partitions(target, source, keys, parts) if parts else []
-    if parts:
-        if not touched:
+    with staging(spark) as staged:
+        # The source is used several times below; a staged copy is computed once.
+        source = staged(source, "upsert-source")
+        target = spark.table(table)
+        if not parts and swap:
+            swap_table(upsert(target, source, keys), table, path)
             return
-        target = _in_partitions(target, touched, parts)
-    result = _staged(_few_files(upsert(target, source, keys), parts), "upsert-result")
+        touched = _touched_partitions(target, source, keys, parts) if parts else []
+        if parts:
+            if not touched:
+                return
+            target = _in_partitions(target, touched, parts)
+        result = staged(_few_files(upsert(target, source, keys), parts), "upsert-result")
+
+        add_columns(spark, table, result.schema)
+        widen_structs(spark, table, path, parts, result.schema)
+        if not parts:
+            _in_table_schema(result, table).write.mode("overwrite").parquet(path)
+            refresh_table(spark, table, parts)
+            return
+        _replace_partitions(result, table, path, parts, touched)
+
 
-    add_columns(spark, table, result.schema)
-    widen_structs(spark, table, path, parts, result.schema)
-    if not parts:
-        _in_table_schema(result, table).write.mode("overwrite").parquet(path)
+def upsert_files(
+    df: DataFrame, table: str, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()
+) -> list[str]:
+    """`upsert_table` that rewrites only the files which hold matched rows, and names them.
+
+    For few changes to large partitions: other files of a touched partition stay as they are. The keys of
+    the table are read once, with their files; the files found are read whole, their rows updated,
+    and written with the inserted rows beside the others; then the old files are deleted. The driver
+    holds the names of these files only. Readers between the two steps see updated rows twice, and so
+    does a table whose job was stopped there: the error says which files were to go.
+    """
+    spark = df.sparkSession
+    keys, parts = list(keys), list(partition_by)
+    source = storable(guarded(df, keys), parts)
+    ensure_database(spark, table)
+    if not attach_table(spark, table, path, parts, df.schema):
+        overwrite_table(source, table, path, parts)
+        return []
+
+    with staging(spark) as staged:
+        source = staged(source, "upsert-source")
+        target = spark.table(table)
+        matched = target.select(*map(quote, keys), F.col("_metadata.file_path").alias("__file"))
+        matched = matched.join(source.select(*map(quote, keys)), keys, "left_semi")
+        files = sorted(r[0] for r in matched.select("__file").distinct().collect())
+        if files:
+            reader = spark.read.schema(target.schema).option("basePath", path)
+            result = upsert(reader.parquet(*map(unescaped, files)), source, keys)
+        else:
+            result = upsert(target.limit(0), source, keys)
+        result = staged(_few_files(result, parts), "upsert-result")
+        add_columns(spark, table, result.schema)
+        widen_structs(spark, table, path, parts, result.schema)
+        writer = _in_table_schema(result, table).write.mode("append")
+        (writer.partitionBy(*parts) if parts else writer).parquet(path)
+        try:
+            delete_paths(spark, map(unescaped, files))
+        except Exception as e:
+            raise RuntimeError(f"{table} has these rows twice; delete {files}") from e
         refresh_table(spark, table, parts)
+    return files
+
+
+def unescaped(uri: str) -> str:
+    """A file's path from `_metadata.file_path`, whose special characters are escaped once more."""
+    return unquote(uri)
+
+
+def replace_keys(
+    df: DataFrame, changed: DataFrame, table: str, path: str, keys: Sequence[str], partition_by: Sequence[str]
+) -> None:
+    """Replace all rows of the keys in `changed` by the rows of `df`; create the table if it is not there.
+
+    Only partitions that hold rows of these keys or receive rows are read and written. `changed` may
+    have keys of which `df` has no row: their rows go. Rows with a null key stay.
+    """
+    spark = df.sparkSession
+    keys, parts = list(keys), list(partition_by)
+    ensure_database(spark, table)
+    df = storable(df, parts)
+    if not attach_table(spark, table, path, parts, df.schema):
+        overwrite_table(df, table, path, parts)
         return
+    with staging(spark) as staged:
+        df = staged(df, "replace-rows")
+        changed = staged(changed.select(*map(quote, keys)).distinct(), "replace-keys")
+        target = spark.table(table)
+        touched = _touched_partitions(target, changed, keys, parts, df)
+        if not touched:
+            return
+        kept = left_join(_in_partitions(target, touched, parts), changed, keys, how="left_anti")
+        result = staged(_few_files(kept.unionByName(df, allowMissingColumns=True), parts), "replace-result")
+        add_columns(spark, table, result.schema)
+        _replace_partitions(result, table, path, parts, touched)
+
+
+def _replace_partitions(
+    result: DataFrame, table: str, path: str, parts: list[str], touched: Sequence[tuple]
+) -> None:
     _overwrite_partitions(result, table, path, parts)
     filled = {tuple(r) for r in result.select(*map(quote, parts)).distinct().collect()}
     for values in set(touched) - filled:
         # all rows have moved to other partitions, so nothing was written over these
-        _empty_partition(spark, table, dict(zip(parts, values)))
-
-
-def quarantine_missing(df: DataFrame, columns: Sequence[str], path: str) -> DataFrame:
-    """Append rows with a null in the columns to `path` and return the others."""
-    good, bad = split_missing(df, columns)
-    bad.write.mode("append").parquet(path)
-    return good
+        _empty_partition(result.sparkSession, table, dict(zip(parts, values)))
 
 
 def attach_table(
@@ -189,9 +339,14 @@ def _refuse_other_layout(spark: SparkSession, table: str, path: str, partition_b
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if sorted(c.lower() for c in parts) != sorted(c.lower() for c in partition_by):
         raise ValueError(f"{table} is partitioned by {parts}, not by {list(partition_by)}")
+    location = _location(spark, table)
+    if location is not None and re.sub(f"/{_VERSION}[0-9a-f]+$", "", _place(location)) != _place(path):
+        raise ValueError(f"{table} is at {location}, not at {path}")
+
+
+def _location(spark: SparkSession, table: str) -> str | None:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
-    if described is not None and _place(described.data_type) != _place(path):
-        raise ValueError(f"{table} is at {described.data_type}, not at {path}")
+    return None if described is None else described.data_type
 
 
 def _place(path: str) -> str:
@@ -254,21 +409,17 @@ def _few_files(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def _staged(df: DataFrame, purpose: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _touched_partitions(target: DataFrame, source: DataFrame, keys: list[str], parts: list[str]) -> list[tuple]:
-    """Partition values that hold matched rows or receive source rows.
+def _touched_partitions(
+    target: DataFrame, source: DataFrame, keys: list[str], parts: list[str], rows: DataFrame | None = None
+) -> list[tuple]:
+    """Partition values that hold rows of the source's keys or receive `rows`, those of the source by default.
 
     As many as partitions are rewritten, whose folders the driver lists in any case.
     """
     columns = list(dict.fromkeys([*keys, *parts]))
     matched = target.select(*map(quote, columns)).join(source.select(*map(quote, keys)), keys, "left_semi")
     types = {f.name: f.dataType for f in target.schema.fields}
-    received = source.select(*[F.col(quote(c)).cast(types[c]).alias(c) for c in parts])
+    received = (source if rows is None else rows).select(*[F.col(quote(c)).cast(types[c]).alias(c) for c in parts])
     touched = matched.select(*map(quote, parts)).distinct().union(received.distinct()).distinct()
     return [tuple(r) for r in touched.collect()]
 

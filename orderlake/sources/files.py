@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from orderlake.operators.columns import quote
 from orderlake.schemas import order_schema
+from orderlake.sinks.quarantine import set_apart
 
 CORRUPT = "_corrupt_record"
 
@@ -62,11 +63,13 @@ def read_csv_split_bad(
     delimiter: str = ",",
     multiline: bool = True,
     bad_path: str | None = None,
+    run_id: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows that fit the schema, and the raw text of those that do not.
 
-    With `bad_path` the bad rows are appended there as JSON. Both frames are lazy over one scan
-    definition. Quoted line breaks need `multiline`, which makes each file one task; set it off
+    With `bad_path` the bad rows are set apart there as JSON, in the folder of `run_id` if one is
+    given (`sinks.quarantine.set_apart`). Both frames are lazy over one scan definition. Quoted line breaks need `multiline`, which makes each file one task; set it off
     for large files without them.
     """
     rows = (
@@ -78,6 +81,7 @@ def read_csv_split_bad(
             mode="PERMISSIVE",
             columnNameOfCorruptRecord=CORRUPT,
         )
+        .options(**(options or {}))
         .csv(path)
     )
     # Only columns that a query reads are parsed, so a query of few columns would take rows with
@@ -89,7 +93,7 @@ def read_csv_split_bad(
     good = rows.filter(record.isNull()).drop(CORRUPT)
     bad = rows.filter(record.isNotNull()).select(record.alias("record"))
     if bad_path is not None:
-        bad.write.mode("append").json(bad_path)
+        set_apart(bad, bad_path, run_id, "json")
     return good, bad
 
 

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from orderlake.scratch import scratch_path
+from orderlake.sinks.quarantine import quarantine_missing
 from orderlake.sinks.tables import (
     guarded_overwrite,
     overwrite_table,
-    quarantine_missing,
     replace_slice,
     upsert_table,
 )
