@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.tables import text_slices
+from orderlake.llm.tables import giving_back, text_slices
 from orderlake.llm.tokens import with_end, word_encoder
 
 TIERS = (256, 512, 1024, 2048)
@@ -150,4 +150,4 @@ def pack(
         yield out()
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(pieces, PIECE)
+    return rows.mapInArrow(giving_back(pieces), PIECE)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm.components import components
-from orderlake.llm.tables import byte_texts, staged
+from orderlake.llm.tables import byte_texts, giving_back, staged
 
 BITS = 64
 SEED = 42
@@ -106,7 +106,7 @@ def bit_counts(fingerprints: DataFrame) -> tuple[int, np.ndarray]:
                 {"cell": pa.array(range(BITS * BITS + 1), pa.int32()), "n": pa.array([*joint.ravel(), rows], pa.float64())}
             )
 
-    sums = fingerprints.mapInArrow(count, "cell int, n double").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    sums = fingerprints.mapInArrow(giving_back(count), "cell int, n double").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     values = np.zeros(BITS * BITS + 1)
     for row in sums:
         values[row.cell] = row.n
@@ -262,7 +262,7 @@ def near_links(fingerprints: DataFrame, partitions: list[Partition], max_bits: i
             a, b = (np.concatenate(found).view(np.int64) for found in (found_a, found_b))
             yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
-    return pairs.mapInArrow(compare, "a long, b long")
+    return pairs.mapInArrow(giving_back(compare), "a long, b long")
 
 
 def fingerprint_classes(fingerprints: DataFrame, max_bits: int) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,3 +57,22 @@ def text_slices(
 def byte_texts(texts: pa.Array) -> list[bytes]:
     """Each text as UTF-8 bytes; null is empty."""
     return texts.cast(pa.binary()).fill_null(b"").to_pylist()
+
+
+def giving_back(function: Callable) -> Callable:
+    """A function over Arrow batches that returns freed memory to the system when its task ends.
+
+    Python workers live on and take tasks of later stages, with all that their allocators hold.
+    """
+
+    @wraps(function)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+            if trim:
+                trim(0)
+
+    return run

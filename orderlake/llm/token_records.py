@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm.tables import text_slices
+from orderlake.llm.tables import giving_back, text_slices
 from orderlake.llm.tokens import with_end, word_encoder
 from orderlake.scratch import scratch_path
 
@@ -164,7 +164,7 @@ def write_records(
         F.col("doc_id").asc_nulls_first()
     )
     manifest = f"{location}/manifest"
-    ordered.mapInArrow(write, MANIFEST).write.parquet(manifest)
+    ordered.mapInArrow(giving_back(write), MANIFEST).write.parquet(manifest)
     return spark.read.schema(MANIFEST).parquet(manifest)
 
 
@@ -191,7 +191,7 @@ def read_records(spark: SparkSession, location: str, most: int = 1 << 22) -> Dat
 
     # A number is given, as the few manifest rows would else be joined into one task that reads all files.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return manifest.repartition(tasks, "shard").mapInArrow(read, RECORD)
+    return manifest.repartition(tasks, "shard").mapInArrow(giving_back(read), RECORD)
 
 
 def _runs(source, index: np.ndarray, row: dict, most: int) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.tables import staged, text_slices
+from orderlake.llm.tables import giving_back, staged, text_slices
 
 # Insults of four languages, each a voter.
 SEEDS = (
@@ -111,7 +111,7 @@ def found_voters(labelled: DataFrame, most: int = VOTERS) -> list[tuple[str, int
     columns = [f"{what}{times}" for times in TIMES for what in ("n", "bad")]
     sums = staged(
         labelled.select("text", "toxic")
-        .mapInArrow(count, "stem string, " + ", ".join(f"{c} long" for c in columns))
+        .mapInArrow(giving_back(count), "stem string, " + ", ".join(f"{c} long" for c in columns))
         .groupBy("stem")
         .agg(*[F.sum(c).alias(c) for c in columns])
         .filter(F.col(columns[0]) >= F.when(F.col("stem") == "", 0).otherwise(LEAST_TEXTS)),
@@ -269,7 +269,7 @@ def refit(rows: DataFrame, model: LabelModel, size: int) -> LabelModel:
                 sums[0] += (full * (1 - p)[:, None]).T @ full
         yield cells(sums)
 
-    sums = gathered(rows.select("hits", "toxic").mapInArrow(expect, "cell int, value double"), (2, size + 1, size + 1))
+    sums = gathered(rows.select("hits", "toxic").mapInArrow(giving_back(expect), "cell int, value double"), (2, size + 1, size + 1))
     n = sums[:, -1, -1]
     prior = float(np.clip((n[1] + 1) / (n.sum() + 10), 1e-4, 0.9))
     rates = np.clip((sums[:, :-1, -1] + 0.05) / (n[:, None] + 1), 1e-6, 1 - 1e-6)
@@ -324,7 +324,7 @@ def trained(rows: DataFrame, model: LabelModel, size: int) -> np.ndarray:
                     sums[d] += (target - p) @ x
             yield cells(sums)
 
-        sums = gathered(rows.select("hits", "toxic").mapInArrow(slope, "cell int, value double"), (d + 1, d))
+        sums = gathered(rows.select("hits", "toxic").mapInArrow(giving_back(slope), "cell int, value double"), (d + 1, d))
         penalty = np.full(d, RIDGE)
         penalty[-1] = 1e-6
         step = np.linalg.solve(sums[:d] + np.diag(penalty), sums[d] - penalty * weights)
