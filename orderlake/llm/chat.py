@@ -111,6 +111,11 @@ def with_foreign_answer(turns: DataFrame, key: str = "conv_id") -> tuple[DataFra
     Chosen is a conversation with an answer. Rejected is the same up to its last answer (the
     assistant's turn of highest number), in whose place it has the last answer of the conversation with the next
     whole number as id, or, where there is none, of the conversation with the smallest id.
+
+    Conversations without an assistant's turn have nothing to prefer and are in neither frame, nor are
+    rows without an id; an answer without a turn number is no last answer. Turns after the last answer
+    stay in chosen. A null text of an answer is empty. An empty table gives empty frames; of the columns,
+    only the key, turn, role and text are read.
     """
     answers = (
         turns.filter((F.col("role") == TRAINED_ROLE) & F.col(key).isNotNull() & F.col("turn").isNotNull())
