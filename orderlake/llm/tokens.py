@@ -19,6 +19,10 @@ CACHED_WORDS = 250_000
 
 # A word of Latin letters, then stops: two pre-tokens that normalisation never joins.
 _WORD_AND_STOPS = re.compile("([a-zß-öø-ÿ]+)([,.!]+)")
+# A word of Latin letters is one pre-token that normalisation leaves as it is.
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+#: Such words that the tokenizer gets at once, joined by spaces.
+JOINED = 100
 
 
 class WordEncoder:
@@ -29,6 +33,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cached = cached
+        vocabulary = self.tokenizer.get_vocab()
+        #: Of each id, whether it ends a pre-token.
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.recent: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
@@ -80,7 +88,17 @@ class WordEncoder:
         wanted = dict.fromkeys(word for word in missing if word not in parts)
         wanted.update(dict.fromkeys(p for pair in parts.values() for p in pair))
         new = [word for word in wanted if word not in self.recent]
-        for word, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        plain = [word for word in new if _LETTERS.fullmatch(word)]
+        groups = [plain[k : k + JOINED] for k in range(0, len(plain), JOINED)]
+        joined = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, coded in zip(groups, joined, strict=True):
+            ids = np.array(coded.ids, "<u4")
+            begin, data = 0, ids.tobytes()
+            for word, end in zip(group, (4 * np.flatnonzero(self.last[ids]) + 4).tolist(), strict=True):
+                self.recent[word] = data[begin:end]
+                begin = end
+        others = [word for word in new if word not in self.recent]
+        for word, coded in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
             self.recent[word] = np.array(coded.ids, "<u4").tobytes()
         for word, (stem, stops) in parts.items():
             self.recent[word] = self.recent[stem] + self.recent[stops]
