@@ -29,12 +29,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.tables import text_slices
+from orderlake.llm.tables import giving_back, text_slices
 
 #: Tokens of the shortest tile. An item with fewer has to be found whole.
 LEAST = 5
 #: Share of an item's tokens that tiles must cover.
 COVERAGE = 0.8
+#: Pairs of equal windows that are held at once (those of one text and one item's windows at least).
+SEEDS = 1 << 20
 #: Characters of benchmark text that go to a task at once (one item at least).
 BLOCK_CHARS = 4_000_000
 
@@ -112,50 +114,105 @@ class Items:
                 continue
             windows = rolling(tokens, size)[starts]
             low, high = (np.searchsorted(hashes, windows, side=s) for s in ("left", "right"))
-            count = high - low
-            at = np.repeat(np.arange(len(starts)), count)
-            if not len(at):
-                continue
-            pick = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            seeds = np.stack([rows[at], items[pick], starts[at] - offsets[rows[at]], places[pick]])
-            seeds = seeds[:, np.lexsort(seeds[::-1])]
-            pairs = np.flatnonzero(np.diff(seeds[0], prepend=-1) | np.diff(seeds[1], prepend=-1))
-            for a, b in zip(pairs, [*pairs[1:], seeds.shape[1]], strict=True):
-                row, item = int(seeds[0, a]), int(seeds[1, a])
-                own = self.numbers[self.offsets[item] : self.offsets[item + 1]]
-                need = coverage * len(own) - 1e-9
-                reach = np.zeros(len(own) + 1, np.int64)
-                np.add.at(reach, seeds[3, a:b], 1)
-                np.add.at(reach, seeds[3, a:b] + size, -1)
-                if (np.cumsum(reach) > 0).sum() < need:
-                    continue
-                text = tokens[offsets[row] : offsets[row + 1]]
-                marked, tiles = tile(text, own, seeds[2, a:b], seeds[3, a:b], size)
-                if marked >= need:
-                    yield row, self.ids[item], tiles, marked, len(own)
-
-
-def tile(text: np.ndarray, item: np.ndarray, at: np.ndarray, place: np.ndarray, least: int) -> tuple[int, int]:
-    """Marked tokens and tiles of a text and an item, from the places of their equal windows.
-
-    Of runs that are equally long, the first in the item and then in the text goes first.
+            hit = high > low
+            starts, rows, low, high = starts[hit], rows[hit], low[hit], high[hit]
+            # What a text covers of an item does not depend on how often it has a window, so each window
+            # of a text is looked up once: for many equal ones there is no row of its own.
+            order = np.lexsort((low, rows))
+            once = order[(np.diff(rows[order], prepend=-1) != 0) | (np.diff(low[order], prepend=-1) != 0)]
+            counts = np.bincount(rows[once], high[once] - low[once], len(offsets) - 1)
+            for some in portions(np.flatnonzero(counts), counts, SEEDS):
+                own = once[np.isin(rows[once], some)]
+                count = high[own] - low[own]
+                at = own[np.repeat(np.arange(len(own)), count)]
+                pick = low[at] + np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+                seen = np.stack([rows[at], items[pick], places[pick], low[at]])
+                seen = seen[:, np.lexsort(seen[2::-1])]
+                pairs = np.flatnonzero(np.diff(seen[0], prepend=-1) | np.diff(seen[1], prepend=-1))
+                for a, b in zip(pairs, [*pairs[1:], seen.shape[1]], strict=True):
+                    row, item = int(seen[0, a]), int(seen[1, a])
+                    wanted = self.numbers[self.offsets[item] : self.offsets[item + 1]]
+                    need = coverage * len(wanted) - 1e-9
+                    reach = np.zeros(len(wanted) + 1, np.int64)
+                    reach[seen[2, a:b]] += 1
+                    np.add.at(reach, seen[2, a:b] + size, -1)
+                    if (np.cumsum(reach) > 0).sum() < need:
+                        continue
+                    first, last = np.searchsorted(rows, [row, row + 1])
+                    text = tokens[offsets[row] : offsets[row + 1]]
+                    runs = equal_runs(text, wanted, starts[first:last] - offsets[row], low[first:last], seen[2, a:b], seen[3, a:b], size)
+                    marked, tiles = tile(len(text), len(wanted), runs, size)
+                    if marked >= need:
+                        yield row, self.ids[item], tiles, marked, len(wanted)
+
+
+def portions(rows: np.ndarray, counts: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """`rows` in turn, so many at once that their counts add up to `most`; one row at least."""
+    first = 0
+    while first < len(rows):
+        total = np.cumsum(counts[rows[first:]])
+        n = max(1, int(np.searchsorted(total, most, side="right")))
+        yield rows[first : first + n]
+        first += n
+
+
+def equal_runs(
+    text: np.ndarray, item: np.ndarray, at: np.ndarray, name: np.ndarray, place: np.ndarray, own: np.ndarray, least: int
+) -> np.ndarray:
+    """(length, place in the item, place in the text) of all longest equal runs of `least` tokens and more.
+
+    Windows of one name (`name` of the text's at `at`, `own` of the item's at `place`) are equal, if their
+    hashes do not deceive; tokens are compared. Pairs of equal windows are made for some diagonals at a
+    time, at most SEEDS of them, so two long texts of one word take no more memory than others.
     """
-    same = np.ones(len(at), bool)
-    for k in range(least):  # a window is a seed only if its tokens, not just their hashes, agree
-        same &= text[at + k] == item[place + k]
-    at, place = at[same], place[same]
-    order = np.lexsort((place, at - place))
-    at, place = at[order], place[order]
-    heap = []
+    width = len(item) + 1
+    names, which = np.unique(own, return_inverse=True)
+    keys = np.sort(which * width + place)
+    of = np.minimum(np.searchsorted(names, name), len(names) - 1)
+    there = names[of] == name
+    at, of = at[there], of[there]
+    order = np.argsort(at)
+    at, base = at[order], of[order] * width
+    found = [np.zeros((3, 0), np.int64)]
     if len(at):
-        breaks = np.flatnonzero((np.diff(at - place, prepend=-(1 << 60)) != 0) | (np.diff(place, prepend=-9) != 1))
-        for a, b in zip(breaks, [*breaks[1:], len(at)], strict=True):
-            heap.append((-(int(b - a) + least - 1), int(place[a]), int(at[a])))
-    heapq.heapify(heap)
-    in_text, in_item = np.zeros(len(text), bool), np.zeros(len(item), bool)
-    marked = tiles = 0
-    while heap:
-        length, p, t = heapq.heappop(heap)
+        total = (np.searchsorted(keys, base + width) - np.searchsorted(keys, base)).sum()
+        begin, end = int(at[0]) - len(item), int(at[-1]) + 1
+        step = end - begin if total <= SEEDS else max(1, SEEDS // len(item))
+        for low in range(begin, end, step):  # diagonals are numbered by place in the text less place in the item
+            part = slice(*np.searchsorted(at, [low, low + step + len(item)]))
+            t, b = at[part], base[part]
+            first = np.searchsorted(keys, b + np.clip(t - low - step + 1, 0, len(item)))
+            count = np.maximum(np.searchsorted(keys, b + np.clip(t - low + 1, 0, len(item))) - first, 0)
+            pick = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+            p, t = keys[pick] - np.repeat(b, count), np.repeat(t, count)
+            same = np.ones(len(t), bool)
+            for k in range(least):
+                same &= text[t + k] == item[p + k]
+            p, t = p[same], t[same]
+            order = np.lexsort((p, t - p))
+            p, t = p[order], t[order]
+            breaks = np.flatnonzero((np.diff(t - p, prepend=-(1 << 60)) != 0) | (np.diff(p, prepend=-9) != 1))
+            found.append(np.stack([np.diff(breaks, append=len(p)) + least - 1, p[breaks], t[breaks]]))
+    return np.concatenate(found, axis=1)
+
+
+def tile(text_length: int, item_length: int, runs: np.ndarray, least: int) -> tuple[int, int]:
+    """Marked tokens and tiles of a text and an item, from their equal runs.
+
+    Of runs that are equally long, the first in the item and then in the text goes first. What is left
+    of a run that meets marked tokens waits for its turn by its own length.
+    """
+    runs = runs[:, np.lexsort((runs[2], runs[1], -runs[0]))]
+    rest: list[tuple[int, int, int]] = []
+    in_text, in_item = np.zeros(text_length, bool), np.zeros(item_length, bool)
+    marked = tiles = following = 0
+    while marked < item_length and (rest or following < runs.shape[1]):
+        whole = (-int(runs[0, following]), int(runs[1, following]), int(runs[2, following])) if following < runs.shape[1] else None
+        if whole is None or (rest and rest[0] < whole):
+            length, p, t = heapq.heappop(rest)
+        else:
+            length, p, t = whole
+            following += 1
         length = -length
         free = ~(in_text[t : t + length] | in_item[p : p + length])
         if free.all():
@@ -165,7 +222,7 @@ def tile(text: np.ndarray, item: np.ndarray, at: np.ndarray, place: np.ndarray,
         edges = np.flatnonzero(np.diff(np.concatenate([[0], free.view(np.int8), [0]])))
         for a, b in edges.reshape(-1, 2).tolist():
             if b - a >= least:
-                heapq.heappush(heap, (-(b - a), p + a, t + a))
+                heapq.heappush(rest, (-(b - a), p + a, t + a))
     return marked, tiles
 
 
@@ -218,7 +275,7 @@ def overlaps(
                         names=[c.split()[0] for c in OVERLAP.split(", ")],
                     )
 
-        found = found.unionAll(rows.mapInArrow(look, OVERLAP))
+        found = found.unionAll(rows.mapInArrow(giving_back(look), OVERLAP))
     return found
 
 

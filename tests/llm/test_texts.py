@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import resource
 
 import duckdb
 import numpy as np
@@ -333,8 +334,16 @@ def brute_tiles(text, item, least):
             in_text[t + k] = in_item[p + k] = True
 
 
+def windows(tokens, size, names):
+    """Places of all windows, and a number for each that equal ones share."""
+    all_of = [tuple(tokens[k : k + size].tolist()) for k in range(len(tokens) - size + 1)]
+    return np.arange(len(all_of)), np.array([names.setdefault(w, len(names)) for w in all_of], int)
+
+
+@pytest.mark.parametrize("most", [1 << 20, 7])
 @pytest.mark.parametrize("seed", range(6))
-def test_tiles(seed):
+def test_tiles(seed, most, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SEEDS", most)
     draw = random.Random(seed)
     for _ in range(60):
         item = [draw.randrange(6) for _ in range(draw.randint(3, 25))]
@@ -343,11 +352,32 @@ def test_tiles(seed):
             a = draw.randrange(len(item))
             text += item[a : a + draw.randint(1, 12)] + [draw.randrange(6) for _ in range(draw.randint(0, 3))]
         text, item = np.array(text), np.array(item)
-        at, place = np.array(
-            [(t, p) for t in range(len(text) - 2) for p in range(len(item) - 2) if (text[t : t + 3] == item[p : p + 3]).all()]
-            or np.zeros((0, 2)), int,
-        ).reshape(-1, 2).T
-        assert decontaminate.tile(text, item, at, place, 3) == brute_tiles(text.tolist(), item.tolist(), 3)
+        names = {}
+        (at, name), (place, own) = windows(text, 3, names), windows(item, 3, names)
+        shuffled = np.random.default_rng(seed).permutation(len(at))
+        runs = decontaminate.equal_runs(text, item, at[shuffled], name[shuffled], place, own, 3)
+        assert decontaminate.tile(len(text), len(item), runs, 3) == brute_tiles(text.tolist(), item.tolist(), 3)
+
+
+def test_deceiving_hashes_are_no_runs():
+    text, item = np.array([1, 2, 3, 4]), np.array([1, 2, 9, 4])
+    runs = decontaminate.equal_runs(text, item, np.arange(3), np.zeros(3, int), np.arange(3), np.zeros(3, int), 2)
+    assert runs.T.tolist() == [[2, 0, 0]]
+
+
+def test_one_word_a_million_times(spark):
+    """Two texts of one word have as many equal windows as the product of their lengths."""
+    items = decontaminate.Items((1, 2, 3), ("ha " * 300, "ha " * 7, "ha " * 100 + "w " * 300), 5)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = list(items.overlaps(pa.array(["ha " * 1_000_000, "no", "ha ha ha ha ha ha"]), 0.8))
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 1000
+    assert sorted(found) == [(0, 1, 1, 300, 300), (0, 2, 1, 7, 7), (2, 2, 1, 6, 7)]
+
+
+def test_rows_are_taken_in_portions():
+    counts = np.array([5, 0, 9, 1, 1, 30, 2])
+    parts = [p.tolist() for p in decontaminate.portions(np.flatnonzero(counts), counts, 10)]
+    assert parts == [[0], [2, 3], [4], [5], [6]]
 
 
 def test_overlaps(spark):
