@@ -5,13 +5,18 @@ two moduli near 2^31. Two spans of equal length are equal if their hashes agree
 shifted by the other's start: (S[i+n] - S[i]) * B^j = (S'[j+n] - S'[j]) * B^i. The longest common
 extension of two positions is found by binary search over n.
 
-A fingerprint is short: the length, the whole text's hashes, and the hashes of prefixes that end at
-the multiples of a power of two, and of suffixes likewise; the power is the smallest that gives at
-most `RUNGS` of them. Equal texts have equal fingerprints, texts of another length or hash other
-ones. Two fingerprints are likened by binary search for the longest common prefix and suffix among
-the rungs that both have: their length over the longer text's is the likeness, 1 for equal texts.
-
-Where both texts' prefix arrays are at hand, the likeness is by shared spans at any place: past each
+A fingerprint is short: the length, the whole text's hashes, the hashes of prefixes that end at
+the multiples of a power of two, and of suffixes likewise (the power is the smallest that gives at
+most `RUNGS` of them), how many different spans of SPAN code points the text has, and the smallest
+`SAMPLE` of their hashes. Equal texts have equal fingerprints, texts of another length or hash other
+ones.
+
+Two fingerprints are likened by what they hold, the same both ways: 1 for equal texts, else the larger
+of two shares of the longer text. One is the longest common prefix and suffix among the rungs
+that both have, by binary search; it is exact to a rung. The other is the share of common spans, wherever
+they stand, told from the samples; it is exact if both texts have at most SAMPLE spans.
+
+Where both texts' prefix arrays are at hand, spans that follow each other in both are counted: past each
 difference, the next place at which SPAN code points are in both texts, in order, is found by their
 hashes and extended to either side. Common spans of 2 * SPAN - 1 code points hold such a place.
 """
@@ -35,8 +40,10 @@ MODULI = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 #: Most prefixes, and most suffixes, that a fingerprint holds.
 RUNGS = 32
-#: Code points whose hashes are looked up in the other text.
+#: Code points whose hashes are looked up in the other text, and sampled.
 SPAN = 16
+#: Span hashes that a fingerprint holds, at most.
+SAMPLE = 128
 
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -164,13 +171,6 @@ class PrefixHashes:
             i, j = start + n, place + n
         return total + suffix
 
-    def likeness(self, other: PrefixHashes) -> float:
-        """1 for equal texts, else the shared spans over the longer text's length."""
-        longest = max(self.n, other.n)
-        if self.n == other.n and self.equal(0, other, 0, self.n):
-            return 1.0
-        return min(self.shared(other), longest - 1) / longest
-
     def fingerprint(self) -> Fingerprint:
         n, step = self.n, 1
         while n // step > RUNGS:
@@ -186,7 +186,8 @@ class PrefixHashes:
             suffixes.append(rest * lift % np.uint64(modulus))
         whole = tuple(int(sums[n]) for sums in self.arrays)
         pair = lambda a: a[0] << np.uint64(32) | a[1]
-        return Fingerprint(n, whole, step, pair(prefixes), pair(suffixes))
+        kinds = np.unique(self.spans().astype(np.uint32))
+        return Fingerprint(n, whole, step, pair(prefixes), pair(suffixes), len(kinds), kinds[:SAMPLE])
 
 
 @dataclass
@@ -196,33 +197,49 @@ class Fingerprint:
     step: int
     prefixes: np.ndarray
     suffixes: np.ndarray
+    kinds: int
+    sample: np.ndarray
 
     def __str__(self) -> str:
         rungs = np.concatenate([self.prefixes, self.suffixes]).astype(">u8").tobytes().hex()
-        return f"{self.n:x}-{self.whole[0]:08x}{self.whole[1]:08x}-{rungs}"
+        sample = self.sample.astype(">u4").tobytes().hex()
+        return f"{self.n:x}-{self.whole[0]:08x}{self.whole[1]:08x}-{rungs}-{self.kinds:x}-{sample}"
 
     @staticmethod
     def parse(text: str) -> Fingerprint:
-        n, whole, rungs = text.split("-")
+        n, whole, rungs, kinds, sample = text.split("-")
         step = 1
         while int(n, 16) // step > RUNGS:
             step *= 2
         values = np.frombuffer(bytes.fromhex(rungs), ">u8").astype(np.uint64)
         half = len(values) // 2
-        return Fingerprint(int(n, 16), (int(whole[:8], 16), int(whole[8:], 16)), step, values[:half], values[half:])
+        spans = np.frombuffer(bytes.fromhex(sample), ">u4").astype(np.uint32)
+        return Fingerprint(
+            int(n, 16), (int(whole[:8], 16), int(whole[8:], 16)), step, values[:half], values[half:], int(kinds, 16), spans
+        )
 
     def likeness(self, other: Fingerprint) -> float:
-        """1 for equal texts, else the shared prefix and suffix over the longer text's length."""
+        """1 for equal texts, else what the texts share over the longer one's length."""
         longest = max(self.n, other.n)
         if self.n == other.n and self.whole == other.whole:
             return 1.0
         step = max(self.step, other.step)
-        shared = [
+        ends = [
             step * _agreeing(a[step // self.step - 1 :: step // self.step], b[step // other.step - 1 :: step // other.step])
             for a, b in ((self.prefixes, other.prefixes), (self.suffixes, other.suffixes))
         ]
         # Unequal texts cannot share all of the longer one.
-        return min(sum(shared), min(self.n, other.n), longest - 1) / longest
+        return min(max(sum(ends), self.common_spans(other) * longest), min(self.n, other.n), longest - 1) / longest
+
+    def common_spans(self, other: Fingerprint) -> float:
+        """Common spans over those of the text that has more; of spans that a text repeats, one counts."""
+        if not len(self.sample) or not len(other.sample):
+            return 0.0
+        either, times = np.unique(np.concatenate([self.sample, other.sample]), return_counts=True)
+        if self.kinds > SAMPLE or other.kinds > SAMPLE:
+            times = times[:SAMPLE]  # beyond, a sample may lack what its text has
+        both = np.count_nonzero(times == 2) / len(times)
+        return float(both / (1 + both) * (self.kinds + other.kinds) / max(self.kinds, other.kinds))
 
 
 def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
@@ -271,7 +288,7 @@ def common_extensions(pairs: DataFrame, left: str, right: str, left_at: str, rig
 
 EDITED = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double, next_fingerprint string"
+    "near_edited double, near_next double, next_fingerprint string, shared_edited long, shared_next long"
 )
 
 
@@ -326,7 +343,9 @@ def edited_by_successor(
 
     The successor is the next row in ascending (id, text) order; after the last comes the first.
     The last floor(n/2) code points are replaced by the first as many of the successor (all, if it
-    has fewer). Null texts are empty. Rows without an id have no place in the order and are
+    has fewer). near_edited and near_next are the likenesses of the fingerprint to those two, and follow from
+    the returned strings; shared_edited and shared_next count code points in spans that both texts have in one
+    order. Null texts are empty. Rows without an id have no place in the order and are
     returned with null in all columns but n_chars and fingerprint. Repeated rows follow each
     other. An empty table gives no rows.
     """
@@ -371,6 +390,7 @@ def edited_by_successor(
         F.lit(None).cast("string").alias("edited_sha256"), "fingerprint",
         F.lit(None).cast("string").alias("edited_fingerprint"), F.lit(None).cast("double").alias("near_edited"),
         F.lit(None).cast("double").alias("near_next"), F.lit(None).cast("string").alias("next_fingerprint"),
+        F.lit(None).cast("long").alias("shared_edited"), F.lit(None).cast("long").alias("shared_next"),
     )
     return known.unionAll(nameless)
 
@@ -382,8 +402,9 @@ def _edited(
     half = len(codes) // 2
     edited = np.concatenate([codes[: len(codes) - half], following[:half]])
     edited_hashes = PrefixHashes(edited)
+    edited_mark = edited_hashes.fingerprint()
     digest = hashlib.sha256(edited.tobytes().decode("utf-32-le").encode()).hexdigest()
     return (
-        doc_id, len(codes), digest, str(mark), str(edited_hashes.fingerprint()),
-        hashes.likeness(edited_hashes), hashes.likeness(next_hashes), str(next_mark),
+        doc_id, len(codes), digest, str(mark), str(edited_mark), mark.likeness(edited_mark), mark.likeness(next_mark),
+        str(next_mark), hashes.shared(edited_hashes), hashes.shared(next_hashes),
     )

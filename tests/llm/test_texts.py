@@ -97,7 +97,34 @@ def test_near_copies_share_spans_between_edits(spark):
         copy = copy[:k] + "#" + copy[k + 1 :]
     docs = spark.createDataFrame([(1, text), (2, copy), (3, text[::-1])], "doc_id long, text string")
     found = {r.doc_id: r for r in prefix_hash.edited_by_successor(docs, blocks=2).collect()}
-    assert 0.99 < found[1].near_next < 1 and found[2].near_next < 0.01
+    assert 0.99 * len(copy) < found[1].shared_next < len(copy) and found[2].shared_next < 0.01 * len(copy)
+    assert 0.95 < found[1].near_next < 1 and found[2].near_next < 0.01
+    for r in found.values():
+        own, edited, following = map(prefix_hash.Fingerprint.parse, (r.fingerprint, r.edited_fingerprint, r.next_fingerprint))
+        assert (r.near_edited, r.near_next) == (own.likeness(edited), own.likeness(following))
+
+
+@given(texts, texts)
+@settings(max_examples=200, deadline=None)
+def test_likeness_of_short_texts_is_exact_and_the_same_both_ways(a, b):
+    a, b = a + b[:30] + "!" + a, b + a[:30]
+    x, y = (prefix_hash.PrefixHashes(prefix_hash.code_points(t)).fingerprint() for t in (a, b))
+    assert x.likeness(y) == y.likeness(x) == prefix_hash.Fingerprint.parse(str(x)).likeness(y)
+    spans = [{t[k : k + prefix_hash.SPAN] for k in range(len(t) - prefix_hash.SPAN + 1)} for t in (a, b)]
+    most = max(map(len, spans))
+    if all(spans) and most <= prefix_hash.SAMPLE:
+        assert x.common_spans(y) == pytest.approx(len(spans[0] & spans[1]) / most)
+        assert x.likeness(y) >= min(len(spans[0] & spans[1]) / most, (min(len(a), len(b)) - 1) / max(len(a), len(b))) - 1e-9
+
+
+@pytest.mark.parametrize("size", [200, 5_000, 60_000])
+def test_a_moved_passage_counts_both_ways(size):
+    draw = random.Random(size)
+    head, passage, tail = ("".join(draw.choice("abcdefgh ") for _ in range(size)) for _ in range(3))
+    mark = lambda t: prefix_hash.PrefixHashes(prefix_hash.code_points(t)).fingerprint()
+    x, y, z = mark(head + passage + tail), mark(passage + tail + head), mark(head[::-1] + passage[::-1])
+    assert 0.75 < x.likeness(y) == y.likeness(x) < 1
+    assert x.likeness(z) < 0.05
 
 
 @given(texts, texts)
@@ -110,7 +137,6 @@ def test_shared_spans_are_common_subsequences(a, b):
         for j, d in enumerate(b):
             common[i + 1][j + 1] = common[i][j] + 1 if c == d else max(common[i][j + 1], common[i + 1][j])
     assert x.shared(y) <= common[-1][-1]
-    assert 0 <= x.likeness(y) <= 1 and (x.likeness(y) == 1) == (a == b)
 
 
 def test_common_extensions(spark):
