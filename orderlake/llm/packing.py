@@ -5,9 +5,13 @@ what remains is routed to the smallest tier that holds it. From the longest tier
 are laid into windows of their tier, and the gap that a window has left is filled from the
 shorter tiers, the last piece being cut to the gap. So every window but the last of a block is full
 to its tier's length and needs no padding; what remains at the end of a task goes to windows of
-the powers of two that sum to it. Tasks pack on their own, so nothing is shuffled and no task needs
-more than its share. Windows of one tier are dealt to step groups in turn: a group holds windows of
-equal length, and `group_tokens` tokens at most, so the steps of a training run cost the same.
+the powers of two that sum to it. Tasks pack on their own, so no text is shuffled and no task needs
+more than its share.
+
+Windows of one length are dealt to step groups in turn, counted over all tasks: a group holds as many
+windows as make `group_tokens` tokens at most, so all groups of a length are equal but for its last, and
+the steps of a training run cost the same. For this the pieces are written once, and the windows that
+each task laid are summed up task by task; that sum has one row per task and length.
 """
 
 from __future__ import annotations
@@ -19,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm.tables import giving_back, text_slices
+from orderlake.llm.tables import giving_back, staged, text_slices
 from orderlake.llm.tokens import with_end, word_encoder
 
 TIERS = (256, 512, 1024, 2048)
@@ -33,21 +37,20 @@ TASK_BITS = 40
 
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
-    "offset long, tier int, step_group long"
+    "offset long, tier int, number long"
 )
 
 
 class Packer:
     """Lays pieces of documents into windows; `pieces` takes what has been laid."""
 
-    def __init__(self, tiers: tuple[int, ...], first_id: int, group_tokens: int):
+    def __init__(self, tiers: tuple[int, ...], first_id: int):
         if sorted(set(tiers)) != list(tiers) or any(t < 1 or t & (t - 1) for t in tiers):
             raise ValueError("tiers must be ascending powers of two")
         self.tiers = tiers
         self.waiting = {tier: deque() for tier in tiers}
         self.tokens = dict.fromkeys(tiers, 0)
-        self.next_id = self.first_id = first_id
-        self.group_tokens = group_tokens
+        self.next_id = first_id
         self.windows = {}
         self.pieces: list[tuple] = []
 
@@ -97,14 +100,12 @@ class Packer:
         return taken
 
     def _window(self, tier: int, pieces: list[tuple]) -> None:
-        laid = self.windows.get(tier, 0)
-        self.windows[tier] = laid + 1
-        per_group = max(1, self.group_tokens // tier)
-        group = self.first_id + (tier.bit_length() << (TASK_BITS - 6)) + laid // per_group
+        number = self.windows.get(tier, 0)
+        self.windows[tier] = number + 1
         offset = 0
         for doc_id, start, ids, n in pieces:
             crc = zlib.crc32(np.ascontiguousarray(ids, "<u4"))
-            self.pieces.append((doc_id, start, len(ids), crc, n, self.next_id, offset, tier, group))
+            self.pieces.append((doc_id, start, len(ids), crc, n, self.next_id, offset, tier, number))
             offset += len(ids)
         self.next_id += 1
 
@@ -122,12 +123,13 @@ def pack(
 
     A null text is empty; every row has its end id, so it has a piece at least. Repeated rows are
     packed as often as they come, null ids stay null. Other columns are not read. An empty table
-    has no pieces.
+    has no pieces. Columns: those of a piece (its document's id, start, length, checksum and tokens),
+    sequence_id and offset in its window, tier (the window's length) and step_group.
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        packer = Packer(tiers, (task.partitionId() if task else 0) << TASK_BITS, group_tokens)
+        packer = Packer(tiers, (task.partitionId() if task else 0) << TASK_BITS)
         schema = pa.schema(
             [(n, pa.int32() if n == "tier" else pa.int64()) for n in (c.split()[0] for c in PIECE.split(", "))]
         )
@@ -150,4 +152,18 @@ def pack(
         yield out()
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(giving_back(pieces), PIECE)
+    return with_step_groups(staged(rows.mapInArrow(giving_back(pieces), PIECE), "packed"), group_tokens)
+
+
+def with_step_groups(pieces: DataFrame, group_tokens: int) -> DataFrame:
+    """`step_group` in place of `number`: windows of one length are counted on from task to task."""
+    pieces = pieces.withColumn("task", F.shiftright("sequence_id", TASK_BITS))
+    laid = pieces.groupBy("task", "tier").agg((F.max("number") + 1).alias("laid"))
+    earlier = Window.partitionBy("tier").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = laid.select("task", "tier", F.coalesce(F.sum("laid").over(earlier), F.lit(0)).alias("before"))
+    per_group = F.greatest(F.lit(1), F.expr(f"{int(group_tokens)} div tier"))
+    turn = F.floor((F.col("before") + F.col("number")) / per_group)
+    group = F.shiftleft(F.col("tier").cast("long"), TASK_BITS) + turn
+    return pieces.join(before, ["task", "tier"]).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", group.alias("step_group")
+    )

@@ -81,7 +81,25 @@ def test_packing(spark):
     assert sorted(starts[1001])[0][0] == 0 and sum(n for _, n in starts[1001]) == len(full[1001, "the " * 30_000])
     assert packing.pack(docs.limit(0), PATH, 1).collect() == []
     with pytest.raises(ValueError):
-        packing.Packer((3, 8), 0, 10)
+        packing.Packer((3, 8), 0)
+
+
+@pytest.mark.parametrize("group_tokens", [1, 600, 1 << 13])
+def test_step_groups_are_equal_over_all_tasks(spark, group_tokens):
+    """Of each length, every group has the same number of windows but one, however many tasks pack."""
+    draw = random.Random(5)
+    rows = [(k, "the " * draw.choice([0, 3, 100, 700, 5_000])) for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    pieces = packing.pack(docs, PATH, 1, tiers=(64, 128, 256), group_tokens=group_tokens).collect()
+    assert len({p.sequence_id >> packing.TASK_BITS for p in pieces}) > 1
+    groups = defaultdict(set)
+    for p in pieces:
+        groups[p.tier, p.step_group].add(p.sequence_id)
+    assert len({g for _, g in groups}) == len(groups)
+    for tier in {t for t, _ in groups}:
+        sizes = sorted(len(members) for (t, _), members in groups.items() if t == tier)
+        full = max(1, group_tokens // tier)
+        assert sizes[1:] == [full] * (len(sizes) - 1) and 0 < sizes[0] <= full
 
 
 def test_records_round_trip(spark, tmp_path):
