@@ -88,6 +88,117 @@ TEMPLATES = [
         "licensed under the creative commons attribution 4 0 international license",
         ["creative commons attribution 4 0"],
     ),
+    (
+        "mit",
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions "
+        "of the software",
+        ["this permission notice shall be included in all copies"],
+    ),
+    ("apache-2", "apache license version 2 0 january 2004", ["apache license version 2 0 january 2004"]),
+    (
+        "gpl-2",
+        "this work is licensed under the gnu general public license version 2",
+        ["gnu general public license version 2"],
+    ),
+    (
+        "lgpl-3",
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published "
+        "by the free software foundation either version 3 of the license",
+        ["gnu lesser general public license", "either version 3 of the license"],
+    ),
+    (
+        "lgpl-3",
+        "this work is licensed under the gnu lesser general public license version 3",
+        ["gnu lesser general public license version 3"],
+    ),
+    (
+        "lgpl-2.1",
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published "
+        "by the free software foundation either version 2 1 of the license",
+        ["gnu lesser general public license", "either version 2 1 of the license"],
+    ),
+    (
+        "lgpl-2.1",
+        "this work is licensed under the gnu lesser general public license version 2 1",
+        ["gnu lesser general public license version 2 1"],
+    ),
+    (
+        "agpl-3",
+        "you can redistribute it and or modify it under the terms of the gnu affero general public license as published "
+        "by the free software foundation either version 3 of the license",
+        ["gnu affero general public license", "either version 3 of the license"],
+    ),
+    (
+        "agpl-3",
+        "this work is licensed under the gnu affero general public license version 3",
+        ["gnu affero general public license version 3"],
+    ),
+    (
+        "bsd-3",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission",
+        ["may be used to endorse or promote products derived from this software without specific prior written permission"],
+    ),
+    ("bsd-3", "licensed under the bsd 3 clause license", ["bsd 3 clause license"]),
+    ("bsd-2", "licensed under the bsd 2 clause license", ["bsd 2 clause license"]),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+        ["for any purpose with or without fee is hereby granted", "this permission notice appear in all copies"],
+    ),
+    ("isc", "licensed under the isc license", ["the isc license"]),
+    (
+        "mpl-2",
+        "licensed under the mozilla public license version 2 0",
+        ["mozilla public license version 2 0"],
+    ),
+    (
+        "epl-2",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license "
+        "2 0 which is available at",
+        ["eclipse public license 2 0"],
+    ),
+    ("epl-2", "licensed under the eclipse public license version 2 0", ["eclipse public license version 2 0"]),
+    (
+        "cc0",
+        "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+        ["waived all copyright and related or neighboring rights to"],
+    ),
+    ("cc0", "released under the creative commons zero v1 0 universal license", ["creative commons zero v1 0 universal"]),
+    ("cc0", "cc0 1 0 universal public domain dedication", ["cc0 1 0 universal"]),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain",
+        ["free and unencumbered software released into the public domain"],
+    ),
+    (
+        "unlicense",
+        "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or "
+        "as a compiled binary for any purpose commercial or non commercial and by any means",
+        ["in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"],
+    ),
+]
+
+# Words of the identifiers that files name their licence by, and the labels.
+IDENTIFIERS = {
+    "mit": "mit",
+    "apache 2 0": "apache-2",
+    "gpl 2 0": "gpl-2",
+    "gpl 3 0": "gpl-3",
+    "lgpl 2 1": "lgpl-2.1",
+    "lgpl 3 0": "lgpl-3",
+    "agpl 3 0": "agpl-3",
+    "bsd 2 clause": "bsd-2",
+    "bsd 3 clause": "bsd-3",
+    "isc": "isc",
+    "mpl 2 0": "mpl-2",
+    "epl 2 0": "epl-2",
+    "cc0 1 0": "cc0",
+    "unlicense": "unlicense",
+}
+TEMPLATES += [
+    (label, line, [line]) for line, label in ((f"spdx license identifier {words}", label) for words, label in IDENTIFIERS.items())
 ]
 
 #: Places of rare words that have to agree on a start. A mandatory phrase has more.
@@ -98,7 +209,9 @@ LEAST_SCORE = 0.6
 VOCABULARY = sorted({w for _, text, _ in TEMPLATES for w in text.split()})
 # Every base phrase, and a mandatory phrase of every template, has one of these in it: a text without
 # any of them can have no label, is not searched and has score 0.
-TELLTALES = ("license", "hereby", "applicable", "redistribut", "commons", "cc")
+TELLTALES = (
+    "license", "hereby", "applicable", "redistribut", "commons", "cc", "permission", "waived", "unencumbered", "binary",
+)
 
 
 def lowered(text: Column) -> Column:

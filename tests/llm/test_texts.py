@@ -283,6 +283,19 @@ def test_alignments_equal_all_starts(spark, seed):
         assert sorted((a.label, a.first, round(a.score, 6)) for a in found[k].alignments) == sorted(expected)
 
 
+def test_every_wording_gives_its_label_alone(spark):
+    """Each template by itself, and within other text, in capitals and with line breaks and stops."""
+    rows = [
+        (k, way, before + text.replace(" ", gap) + after)
+        for k, (_, text, _) in enumerate(licences.TEMPLATES)
+        for way, (before, gap, after) in enumerate([("", " ", ""), ("see file ", "\n * ", ". end")])
+    ]
+    docs = spark.createDataFrame([(k, w, t.upper() if w else t) for k, w, t in rows], "k long, way long, text string")
+    for r in licences.scan(docs).collect():
+        assert r.labels == [licences.TEMPLATES[r.k][0]], licences.TEMPLATES[r.k]
+        assert r.score == pytest.approx(1)
+
+
 def test_every_label_needs_a_telltale():
     phrases = [[p] for p in licences.BASE_PHRASES.values()] + [mandatory for _, _, mandatory in licences.TEMPLATES]
     assert all(any(t in p for p in options for t in licences.TELLTALES) for options in phrases)
