@@ -25,7 +25,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_oracle(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "pages", "conversations", "benchmark", "labels"):
+    for t in ("documents", "pages", "conversations", "benchmark", "labels", "embeddings"):
         duck.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     expected = duck.execute(ORACLE_SQL[name]).to_arrow_table()
     result = QUERIES[name](spark, SMALL)
