@@ -76,13 +76,13 @@ def _document_scan(documents: DataFrame) -> DataFrame:
 
 @check("scan_json_inferred", _DOC_SCAN_SQL)
 def scan_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _written(shop.documents(spark, sf_dir), "json", "documents")
+    path = _written(shop.documents(spark, sf_dir), "json", "documents", **shop.LINE_FILES)
     return _document_scan(read_json(spark, path, {"multiLine": "false"}))
 
 
 @check("scan_json_schema", _DOC_SCAN_SQL)
 def scan_json_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _written(shop.documents(spark, sf_dir), "json", "documents")
+    path = _written(shop.documents(spark, sf_dir), "json", "documents", **shop.LINE_FILES)
     return _document_scan(read_order_documents(spark, path))
 
 
