@@ -1,0 +1,99 @@
+"""What keeps disk and time of the document queries down."""
+
+import re
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from orderlake.checks import jobs, shop, transforms
+from orderlake.plans.silver_orders import keyed_silver_lines, silver_lines
+from orderlake.schemas import ORDER_LINE_KEYS, order_schema
+from orderlake.sinks.tables import guarded
+from orderlake.sources.documents import RECORD, read_checked_documents
+from tests.test_plans import document, entry, promotion
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ["scan_json_inferred", "scan_json_schema", "scan_json_bad_documents"])
+def test_scanned_lines_are_compressed(spark, name):
+    files = contract.queries()[name](spark, SF_DIR).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_landed_lines_are_compressed_and_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(shop.LINE_FILES, "maxRecordsPerFile", 10)
+    lines = spark.range(0, 25, 1, 1).select(F.format_string('{"code":"O%s"}', "id").alias("line"))
+    jobs._land(lines, str(tmp_path), jobs.FIRST)
+    files = [p.name for p in Path(tmp_path, "orders", jobs.FIRST).glob("part-*")]
+    assert len(files) == 3 and all(f.endswith(".gz") for f in files)
+    rows = read_checked_documents(spark, f"{tmp_path}/orders/{jobs.FIRST}")
+    assert rows.filter(F.col(RECORD).isNull()).select("code").distinct().count() == 25
+
+
+MOMENT = 1615689000000
+
+LINES = [
+    # two events within one second, whose texts differ
+    document("O1", MOMENT, [entry(0, "P0"), entry(1, "P1")], allPromotionResults=[promotion("0|1", "A"), promotion("", "CART")]),
+    document("O1", MOMENT + 1, [entry(0, "P0")], allPromotionResults=[promotion("0", "B")]),
+    document("O1", MOMENT + 2, [entry(0, "P0")]),
+    # copies, lines without number or product, orders without code, a document without date
+    document("O2", MOMENT, [entry(0, "P0")], allPromotionResults=[promotion(None, "ALL")]),
+    document("O2", MOMENT, [entry(0, "P0")], allPromotionResults=[promotion(None, "ALL")]),
+    document("O2", MOMENT, [entry(None, "P0"), entry(3, None), entry(4, "P4")], allPromotionResults=[promotion("x", "X")]),
+    document("O3", MOMENT, []),
+    document(None, MOMENT, [entry(0, "P0")], allPromotionResults=[promotion("", "NOBODY")]),
+    document("O4", MOMENT, [entry(0, "P0")], allPromotionResults=[promotion("", "C"), promotion("0", "D")], eventDate=None),
+]
+
+
+def text_rows(df):
+    return sorted(repr(tuple(r)) for r in df.collect())
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_keyed_lines_are_the_guarded_silver_lines(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        documents = spark.createDataFrame(LINES, order_schema())
+        keyed = guarded(keyed_silver_lines(documents, "2024-01-05"), ORDER_LINE_KEYS)
+        expected = guarded(silver_lines(documents, "2024-01-05"), ORDER_LINE_KEYS)
+        assert keyed.columns == expected.columns
+        assert text_rows(keyed) == text_rows(expected)
+        texts = [r[0] for r in keyed.filter("order_number = 'O1' and entries_entry_number = 0").select("entries_promotion_code").collect()]
+        assert sorted(texts, key=str) == ["A", "B", None]
+        assert keyed.filter("order_number = 'O4'").first().cart_level_promotions == ["C"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_keyed_lines_are_made_distinct_where_the_join_left_them(spark):
+    """One shuffle of all columns: that of the join."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = guarded(keyed_silver_lines(spark.createDataFrame(LINES, order_schema()), "2024-01-05"), ORDER_LINE_KEYS)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above = plan[: plan.index("SortMergeJoin")]
+    assert "HashAggregate" in above and "Exchange" not in above
+
+
+def test_documents_are_built_outside_of_the_stage_method(spark):
+    rows = shop.documents(spark, SF_DIR).select("entries", "consignments")
+    rows.write.format("noop").mode("overwrite").save()
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    built = [line for line in plan.split("\n") if "Project" in line and "filter(array" in line]
+    assert built and not any(re.search(r"\*\(\d+\) Project", line) for line in built)
+
+
+def test_joined_documents_are_built_once(spark):
+    for side in transforms._entries_and_promotions(spark, SF_DIR):
+        files = side.inputFiles()
+        assert files and all("order-documents" in f for f in files)
