@@ -57,8 +57,10 @@ _MASK = np.where(np.tril(np.ones((WINDOW, WINDOW))) > 0, 0, -1e9).astype(np.floa
 def hidden(p: Params, x: np.ndarray) -> tuple[np.ndarray, tuple]:
     """Last layer for windows of units, and what the gradients need. x: windows by places."""
     n, d = x.shape[1], WIDTH
-    h0 = p["embed"][x] + p["place"][:n]
-    q, k, v = np.split(h0 @ p["qkv"], 3, axis=2)
+    flat = lambda a: a.reshape(-1, a.shape[-1])
+    h0 = p["embed"][x]
+    h0 += p["place"][:n]
+    q, k, v = np.split((flat(h0) @ p["qkv"]).reshape(*x.shape, 3 * d), 3, axis=2)
     weights = q @ k.transpose(0, 2, 1)
     weights *= d**-0.5
     weights += _MASK[:n, :n]
@@ -66,9 +68,12 @@ def hidden(p: Params, x: np.ndarray) -> tuple[np.ndarray, tuple]:
     np.exp(weights, out=weights)
     weights /= weights.sum(axis=2, keepdims=True)
     mixed = weights @ v
-    h1 = h0 + mixed @ p["mix"]
-    up = np.maximum(h1 @ p["up"], 0)
-    h2 = h1 + up @ p["down"]
+    h1 = (flat(mixed) @ p["mix"]).reshape(h0.shape)
+    h1 += h0
+    up = flat(h1) @ p["up"]
+    np.maximum(up, 0, out=up)
+    h2 = (up @ p["down"]).reshape(h0.shape)
+    h2 += h1
     return h2, (h0, q, k, v, weights, mixed, h1, up)
 
 
@@ -91,54 +96,75 @@ def log_probabilities(p: Params, h: np.ndarray, y: np.ndarray, slots: int) -> np
     return out
 
 
+def _soften(z: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Losses of the targets, one a row; `z` becomes the gradient of their mean."""
+    rows, n = np.arange(len(target)), len(target)
+    z -= z.max(axis=1, keepdims=True)
+    own = z[rows, target]
+    np.exp(z, out=z)
+    total = z.sum(axis=1)
+    z *= (1 / (n * total))[:, None]
+    z[rows, target] -= 1 / n
+    return np.log(total) - own
+
+
 def gradients(p: Params, x: np.ndarray, y: np.ndarray, valid: np.ndarray, slots: int) -> tuple[float, Params]:
     """Mean loss over valid places, and its gradients."""
     h2, (h0, q, k, v, weights, mixed, h1, up) = hidden(p, x)
     d, places = WIDTH, np.flatnonzero(valid.ravel())
-    h, target = h2.reshape(-1, d)[places], y.ravel()[places]
-    g: Params = {name: np.zeros_like(a) for name, a in p.items()}
+    target = y.ravel()[places]
+    order = np.argsort(target.astype(np.uint16), kind="stable")  # by group, then slot
+    places, target = places[order], target[order]
+    h = h2.reshape(-1, d)[places]
+    g: Params = {name: np.zeros_like(p[name]) for name in ("embed", "place", "slot", "slot_bias")}
     group, slot = np.divmod(target, slots)
-    rows, n = np.arange(len(target)), len(target)
-    z = h @ p["group"] + p["group_bias"]
-    loss = log_sum(z) - z[rows, group]
-    dz = np.exp(z - log_sum(z)[:, None])
-    dz[rows, group] -= 1
-    dz /= n
-    g["group"], g["group_bias"] = h.T @ dz, dz.sum(axis=0)
-    dh = dz @ p["group"].T
-    order = np.argsort(group, kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(len(p["group_bias"]) + 1))
-    for c in np.flatnonzero(np.diff(bounds)):
-        at = order[bounds[c] : bounds[c + 1]]
-        z = h[at] @ p["slot"][c] + p["slot_bias"][c]
-        own = np.arange(len(at))
-        total = log_sum(z)
-        loss[at] += total - z[own, slot[at]]
-        dz = np.exp(z - total[:, None])
-        dz[own, slot[at]] -= 1
-        dz /= n
-        g["slot"][c], g["slot_bias"][c] = h[at].T @ dz, dz.sum(axis=0)
-        dh[at] += dz @ p["slot"][c].T
-    dh2 = np.zeros((h2.size // d, d), np.float32)
+    z = h @ p["group"]
+    z += p["group_bias"]
+    loss = _soften(z, group)
+    g["group"], g["group_bias"] = h.T @ z, z.sum(axis=0)
+    dh = z @ p["group"].T
+    # The softmax over slots is one for all groups; only products with a group's own weights go group by group.
+    bounds = np.searchsorted(group, np.arange(len(p["group_bias"]) + 1))
+    there = np.flatnonzero(np.diff(bounds))
+    z = p["slot_bias"][group]
+    for c in there:
+        a, b = bounds[c], bounds[c + 1]
+        z[a:b] += h[a:b] @ p["slot"][c]
+    loss += _soften(z, slot)
+    g["slot_bias"][there] = np.add.reduceat(z, bounds[there], axis=0)
+    for c in there:
+        a, b = bounds[c], bounds[c + 1]
+        g["slot"][c] = h[a:b].T @ z[a:b]
+        dh[a:b] += z[a:b] @ p["slot"][c].T
+    dh2 = np.zeros((h2.size // d, d), h2.dtype)
     dh2[places] = dh
-    dh2 = dh2.reshape(h2.shape)
 
     flat = lambda a: a.reshape(-1, a.shape[-1])
-    g["down"] = flat(up).T @ flat(dh2)
-    dup = (dh2 @ p["down"].T) * (up > 0)
-    g["up"] = flat(h1).T @ flat(dup)
-    dh1 = dh2 + dup @ p["up"].T
-    g["mix"] = flat(mixed).T @ flat(dh1)
-    dmixed = dh1 @ p["mix"].T
-    dweights = dmixed @ v.transpose(0, 2, 1)
-    dv = weights.transpose(0, 2, 1) @ dmixed
-    dscores = weights * (dweights - (dweights * weights).sum(axis=2, keepdims=True))
+    g["down"] = flat(up).T @ dh2
+    dup = dh2 @ p["down"].T
+    dup *= flat(up) > 0
+    g["up"] = flat(h1).T @ dup
+    dh1 = dup @ p["up"].T
+    dh1 += dh2
+    g["mix"] = flat(mixed).T @ dh1
+    dmixed = (dh1 @ p["mix"].T).reshape(mixed.shape)
+    dscores = dmixed @ v.transpose(0, 2, 1)
+    # the sum of the weights' gradients over a row is that of its mixed values'
+    dscores -= (dmixed * mixed).sum(axis=2, keepdims=True)
+    dscores *= weights
     dscores *= d**-0.5
-    dqkv = np.concatenate([dscores @ k, dscores.transpose(0, 2, 1) @ q, dv], axis=2)
+    dqkv = np.empty((*x.shape, 3 * d), h2.dtype)
+    np.matmul(dscores, k, out=dqkv[:, :, :d])
+    np.matmul(dscores.transpose(0, 2, 1), q, out=dqkv[:, :, d : 2 * d])
+    np.matmul(weights.transpose(0, 2, 1), dmixed, out=dqkv[:, :, 2 * d :])
     g["qkv"] = flat(h0).T @ flat(dqkv)
-    dh0 = dh1 + dqkv @ p["qkv"].T
-    g["place"][: x.shape[1]] = dh0.sum(axis=0)
-    np.add.at(g["embed"], x.ravel(), flat(dh0))
+    dh0 = flat(dqkv) @ p["qkv"].T
+    dh0 += dh1
+    g["place"][: x.shape[1]] = dh0.reshape(h0.shape).sum(axis=0)
+    order = np.argsort(x.ravel().astype(np.uint16), kind="stable")
+    unit = x.ravel()[order]
+    starts = np.flatnonzero(np.diff(unit, prepend=-1))
+    g["embed"][unit[starts]] = np.add.reduceat(dh0[order], starts, axis=0)
     return float(loss.mean()), g
 
 
@@ -158,10 +184,18 @@ def fit(p: Params, x: np.ndarray, y: np.ndarray, valid: np.ndarray, slots: int,
             _, g = gradients(p, x[at], y[at], valid[at], slots)
             now = rate * (1 - 0.9 * t / steps) * min(1, t / 20)
             for name, a in g.items():
-                first[name] += 0.1 * (a - first[name])
-                second[name] += 0.02 * (a * a - second[name])
-                size = np.sqrt(second[name] / (1 - 0.98**t)) + 1e-6
-                p[name] -= np.float32(now) * (first[name] / (1 - 0.9**t)) / size
+                first[name] *= 0.9
+                second[name] *= 0.98
+                first[name] += 0.1 * a
+                a *= a
+                a *= 0.02
+                second[name] += a
+                np.multiply(second[name], 1 / (1 - 0.98**t), out=a)
+                np.sqrt(a, out=a)
+                a += 1e-6
+                np.divide(first[name], a, out=a)
+                a *= now / (1 - 0.9**t)
+                p[name] -= a
     return p
 
 
