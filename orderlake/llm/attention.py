@@ -168,8 +168,17 @@ def gradients(p: Params, x: np.ndarray, y: np.ndarray, valid: np.ndarray, slots:
     return float(loss.mean()), g
 
 
+def _keep_heap() -> None:
+    """Let glibc keep up to twice this block's size of freed memory.
+
+    Until such a block was freed, a step's arrays go back to the system each time and are faulted in anew.
+    """
+    np.empty(8 << 20, np.uint8)
+
+
 def fit(p: Params, x: np.ndarray, y: np.ndarray, valid: np.ndarray, slots: int, rate: float, passes: int, seed: int) -> Params:
     """Adam over the windows in random order, `passes` times; the rate falls to a tenth."""
+    _keep_heap()
     p = {name: a.copy() for name, a in p.items()}
     first = {name: np.zeros_like(a) for name, a in p.items()}
     second = {name: np.zeros_like(a) for name, a in p.items()}
@@ -181,7 +190,7 @@ def fit(p: Params, x: np.ndarray, y: np.ndarray, valid: np.ndarray, slots: int,
         for k in range(0, len(x), BATCH):
             t += 1
             at = order[k : k + BATCH]
-            _, g = gradients(p, x[at], y[at], valid[at], slots)
+            _, g = gradients(p, x[at].astype(np.int32), y[at].astype(np.int32), valid[at], slots)
             now = rate * (1 - 0.9 * t / steps) * min(1, t / 20)
             for name, a in g.items():
                 first[name] *= 0.9
@@ -236,6 +245,7 @@ class Scorer:
         self.token_qkv = p["embed"] @ scaled
         self.place_qkv = p["place"] @ scaled
         self.allowed = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+        _keep_heap()
 
     def last(self, x: np.ndarray) -> np.ndarray:
         p, d = self.p, WIDTH

@@ -17,7 +17,8 @@ What is learnt, all of it from training rows only:
   whose models are averaged. So every training window gives a gradient, at any size of the corpus.
 
 Documents are worked on in chunks: the distinct words of some CHUNK_BYTES of text, and the texts as
-numbers of these. So a word is looked up once per chunk, not once per token.
+numbers of these. So a word is looked up once per chunk, not once per token. Units of words that
+earlier chunks had are kept in columns (`UnitCache`): as Python strings they would be most of a task's memory.
 """
 
 from __future__ import annotations
@@ -33,10 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.llm import attention
-from orderlake.llm.tables import staged, text_slices
-from orderlake.llm.tokens import word_encoder
+from orderlake.llm.tables import giving_back, staged, text_slices
+from orderlake.llm.tokens import WordEncoder, word_encoder
 
 CHUNK_BYTES = 8 << 20
+#: A chunk is a row of some 14 MB, and the writer holds a group of rows. Sizes are looked at after each
+#: row, not after a hundred, and a group ends at so many bytes.
+CHUNK_FILES = {"parquet.page.size.row.check.min": "1", "parquet.block.size": str(64 << 20)}
+#: Words whose units a task keeps, and those that go to the tokenizer at once.
+KEPT_WORDS = 500_000
+NEW_WORDS = 20_000
 #: Texts of a chunk whose windows are laid out at once.
 PORTION = 32
 #: Groups of the output layer, and slots of a group; the last slot of all is for all other units.
@@ -69,46 +76,83 @@ def arrays(batch: pa.RecordBatch, row: int) -> dict:
     return out
 
 
+class UnitCache:
+    """Units of words: those of earlier calls, and what the tokenizer gives for new ones, some at a time."""
+
+    def __init__(self, encoder: WordEncoder):
+        self.encoder = encoder
+        self.words = pa.array([], pa.string())
+        self.units, self.ends = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def flat(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The units of distinct words in turn, and where each word's end."""
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(at.is_null())
+        units, ends = [self.units], [self.ends]
+        for k in range(0, len(new), NEW_WORDS):
+            more, their_ends = units_of(*self.encoder.flat(new.slice(k, NEW_WORDS).to_pylist()))
+            ends.append(their_ends + sum(map(len, units)))
+            units.append(more)
+            self.encoder.forget()
+        all_units, all_ends = np.concatenate(units), np.concatenate(ends)
+        there = at.is_valid().to_numpy(zero_copy_only=False)
+        places = at.fill_null(0).to_numpy().astype(np.int64)
+        places[~there] = len(self.words) + np.arange(len(new))
+        lengths = np.diff(all_ends, prepend=0)[places]
+        out = all_units[_spread(all_ends[places] - lengths, lengths)], np.cumsum(lengths)
+        if len(all_ends) > KEPT_WORDS:
+            self.words, self.units, self.ends = words, *out
+        else:
+            self.words, self.units, self.ends = pa.concat_arrays([self.words, new]), all_units, all_ends
+        return out
+
+
 def chunks(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Rows (doc_id, text, held_out) as chunks."""
 
+    @giving_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer_path)
-        end_unit = 2 * encoder.tokenizer.get_vocab_size()
+        cache, end_unit = UnitCache(encoder), 2 * encoder.tokenizer.get_vocab_size()
         first = TaskContext.get().partitionId() << 32
         for number, part in enumerate(text_slices(batches, "text", CHUNK_BYTES)):
-            lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(part.column(1), "")))
-            offsets = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = lists.flatten()
-            coded = pc.if_else(pc.equal(flat, ""), None, flat).dictionary_encode()  # spaces at either end
-            there = coded.indices.is_valid().to_numpy(zero_copy_only=False)
-            tokens = coded.indices.fill_null(0).to_numpy(zero_copy_only=False)[there]
-            ends = np.append(0, np.cumsum(there))[offsets - offsets[0]]
-            words = pa.concat_arrays([coded.dictionary, pa.array([END])])
-            tokens = np.insert(tokens, ends[1:], len(words) - 1).astype("<i4")
-            offsets = ends + np.arange(len(ends))
-            held = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            learnt = tokens[np.repeat(~held, np.diff(offsets))]
-            units, unit_ends = units_of(*encoder.flat(coded.dictionary.to_pylist()))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "chunk": pa.array([first + number], pa.int64()),
-                    "words": pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                    "train": [np.bincount(learnt, minlength=len(words)).astype("<i8").tobytes()],
-                    "units": [np.append(units, np.array([end_unit], "<u4")).tobytes()],
-                    "unit_ends": [np.append(unit_ends, len(units) + 1).astype("<i8").tobytes()],
-                    "doc_ids": pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
-                    "held_out": pa.array([held.tolist()], pa.list_(pa.bool_())),
-                    "offsets": [offsets.astype("<i8").tobytes()],
-                    "tokens": [tokens.tobytes()],
-                }
-            )
-        encoder.forget()  # later stages need the memory
+            yield chunk_of(part, first + number, cache, end_unit)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "held_out")
     return rows.mapInArrow(cut, CHUNK)
 
 
+def chunk_of(part: pa.RecordBatch, number: int, cache: UnitCache, end_unit: int) -> pa.RecordBatch:
+    """Some texts as a chunk."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(part.column(1), "")))
+    offsets = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten()
+    coded = pc.if_else(pc.equal(flat, ""), None, flat).dictionary_encode()  # spaces at either end
+    there = coded.indices.is_valid().to_numpy(zero_copy_only=False)
+    tokens = coded.indices.fill_null(0).to_numpy(zero_copy_only=False)[there]
+    ends = np.append(0, np.cumsum(there))[offsets - offsets[0]]
+    words = pa.concat_arrays([coded.dictionary, pa.array([END])])
+    tokens = np.insert(tokens, ends[1:], len(words) - 1).astype("<i4")
+    offsets = ends + np.arange(len(ends))
+    held = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
+    learnt = tokens[np.repeat(~held, np.diff(offsets))]
+    del lists, flat, there
+    units, unit_ends = cache.flat(coded.dictionary)
+    return pa.RecordBatch.from_pydict(
+        {
+            "chunk": pa.array([number], pa.int64()),
+            "words": pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
+            "train": [np.bincount(learnt, minlength=len(words)).astype("<i8").tobytes()],
+            "units": [np.append(units, np.array([end_unit], "<u4")).tobytes()],
+            "unit_ends": [np.append(unit_ends, len(units) + 1).astype("<i8").tobytes()],
+            "doc_ids": pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
+            "held_out": pa.array([held.tolist()], pa.list_(pa.bool_())),
+            "offsets": [offsets.astype("<i8").tobytes()],
+            "tokens": [tokens.tobytes()],
+        }
+    )
+
+
 def units_of(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Twice each id, and 1 more for the last of a word that has any."""
     units = ids * np.uint32(2)
@@ -119,6 +163,7 @@ def units_of(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def word_counts(parts: DataFrame) -> DataFrame:
     """(word, c) of words that training rows have, the end included."""
 
+    @giving_back
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -145,6 +190,7 @@ def cells(values: np.ndarray) -> pa.RecordBatch:
 
 
 def unit_counts(parts: DataFrame, kinds: int) -> np.ndarray:
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(kinds)
         for batch in batches:
@@ -161,6 +207,7 @@ def neighbours(parts: DataFrame, rank: np.ndarray) -> np.ndarray:
     """For each ranked unit, how often each of the first CONTEXTS comes before and after it in a word."""
     ranked = GROUPS * SLOTS
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((ranked, 2, CONTEXTS))
         for batch in batches:
@@ -238,7 +285,7 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def drawn_windows(batches: Iterator[pa.RecordBatch], place: np.ndarray, rate: float, seed: int) -> Iterator[tuple]:
-    """Windows of training texts, each with probability `rate`, chunk by chunk."""
+    """Windows of training texts, each with probability `rate`, chunk by chunk; places take two bytes."""
     for batch in batches:
         for row in range(batch.num_rows):
             chunk = arrays(batch, row)
@@ -248,18 +295,19 @@ def drawn_windows(batches: Iterator[pa.RecordBatch], place: np.ndarray, rate: fl
             for k in range(0, len(rows), PORTION):
                 x, y, valid, _ = attention.windows(sequences(chunk, place, rows[k : k + PORTION]), GROUPS * SLOTS)
                 keep = rng.random(len(x)) < rate
-                yield x[keep], y[keep], valid[keep]
+                yield x[keep].astype("<u2"), y[keep].astype("<u2"), valid[keep]
 
 
 def pretrained(parts: DataFrame, units: Units, total: float) -> attention.Params:
     rate = min(1.0, PRETRAIN_UNITS / max(total, 1))
     place = units.place
 
+    @giving_back
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x, y, valid in drawn_windows(batches, place, rate, 1):
             if len(x):
                 yield pa.RecordBatch.from_pydict(
-                    {"x": [x.astype("<u2").tobytes()], "y": [y.astype("<u2").tobytes()], "valid": [valid.tobytes()]}
+                    {"x": [x.tobytes()], "y": [y.tobytes()], "valid": [valid.tobytes()]}
                 )
 
     wanted = parts.select("chunk", "units", "unit_ends", "held_out", "offsets", "tokens")
@@ -272,7 +320,7 @@ def pretrained(parts: DataFrame, units: Units, total: float) -> attention.Params
         for name, kind in (("x", "<u2"), ("y", "<u2"), ("valid", "?"))
     )
     passes = int(np.clip(round(PRETRAIN_WORK / max(valid.sum(), 1)), 1, 8))
-    return attention.fit(start, x.astype(np.int32), y.astype(np.int32), valid, SLOTS, RATE, passes, 3)
+    return attention.fit(start, x, y, valid, SLOTS, RATE, passes, 3)
 
 
 def trained(batches: Iterator[pa.RecordBatch], place: np.ndarray, start: attention.Params) -> tuple[attention.Params, int]:
@@ -297,11 +345,13 @@ def refined(parts: DataFrame, units: Units, start: attention.Params) -> attentio
     place = units.place
     sent = parts.sparkSession.sparkContext.broadcast(start)
 
+    @giving_back
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, n = trained(batches, place, sent.value)
         if n:
             yield _model_row(model, n)
 
+    @giving_back
     def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = None, 0
         for batch in batches:
@@ -331,6 +381,7 @@ def model_scores(parts: DataFrame, units: Units, model: attention.Params) -> Dat
     """(chunk, row, score): log10 probability of every text."""
     sent = parts.sparkSession.sparkContext.broadcast((model, units.place, units.extra))
 
+    @giving_back
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, place, extra = sent.value
         scorer = attention.Scorer(model, SLOTS)
@@ -415,7 +466,7 @@ def scored(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     table gives no rows.
     """
     docs = docs.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out"))
-    parts = staged(chunks(docs, tokenizer_path), "lm-chunks")
+    parts = staged(chunks(docs, tokenizer_path), "lm-chunks", CHUNK_FILES)
     counts = staged(word_counts(parts), "lm-words")
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = sums.n or 0, sums.v

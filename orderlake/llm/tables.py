@@ -20,10 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def staged(df: DataFrame, purpose: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write `df` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    `options` are the writer's.
+    """
     path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

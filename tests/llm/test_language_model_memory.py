@@ -1,0 +1,67 @@
+"""What a task of the language model holds: words as columns, windows in two bytes, rows of large cells in small groups."""
+
+import platform
+import resource
+from urllib.parse import urlparse
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pyarrow.dataset as ds
+import pytest
+from pyspark.sql import functions as F
+
+from orderlake.llm import attention, language_model
+from orderlake.llm.tables import staged
+from orderlake.llm.tokens import WordEncoder
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def plain(words):
+    units, ends = language_model.units_of(*WordEncoder(PATH).flat(words))
+    return units.tolist(), ends.tolist()
+
+
+def test_units_of_words_with_and_without_the_cache(monkeypatch):
+    monkeypatch.setattr(language_model, "KEPT_WORDS", 9)
+    monkeypatch.setattr(language_model, "NEW_WORDS", 2)
+    cache = language_model.UnitCache(WordEncoder(PATH))
+    for words in (["of", "lake.", "zürich"], [], ["lake.", "\x7f", "of", "orders"], [f"w{k}" for k in range(12)], ["w3", "of", "日本"], ["of"]):
+        units, ends = cache.flat(pa.array(words, pa.string()))
+        assert (units.tolist(), ends.tolist()) == plain(words)
+        assert units.dtype == np.uint32 and len(cache.words) <= 12
+
+
+def test_a_chunk_leaves_no_words_as_python_strings():
+    encoder = WordEncoder(PATH)
+    cache = language_model.UnitCache(encoder)
+    part = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["Of  lakes\n", None, "lakes of orders"], "held_out": [False, False, True]})
+    chunk = language_model.arrays(language_model.chunk_of(part, 5, cache, 98304), 0)
+    assert len(encoder.recent) == 1 and not encoder.older
+    words = chunk["words"].as_py()
+    assert words == ["of", "lakes", "orders", language_model.END] and chunk["train"].tolist() == [1, 1, 0, 2]
+    assert [words[k] for k in chunk["tokens"]] == ["of", "lakes", "\n", "\n", "lakes", "of", "orders", "\n"]
+    units, ends = plain(words[:-1])
+    assert (chunk["units"].tolist(), chunk["unit_ends"].tolist()) == ([*units, 98304], [*ends, len(units) + 1])
+    drawn = language_model.drawn_windows(iter([language_model.chunk_of(part, 5, cache, 98304)]), np.zeros(98305, np.int32), 1.0, 2)
+    assert all(x.dtype == y.dtype == np.uint16 for x, y, _ in drawn)
+
+
+def test_row_groups_of_large_cells_end_by_bytes(spark):
+    rows = spark.range(0, 12, 1, 1).select("id", F.expr("repeat(sha2(cast(id as string), 256), 2000)").alias("cell"))
+    read = staged(rows, "large-cells", language_model.CHUNK_FILES | {"parquet.block.size": "300000"})
+    files = [urlparse(f).path for f in read.inputFiles()]
+    groups = [g.num_rows for f in ds.dataset(files).get_fragments() for g in f.row_groups]
+    assert sum(groups) == 12 and max(groups) <= 4
+
+
+@pytest.mark.skipif(platform.libc_ver()[0] != "glibc", reason="on how glibc keeps memory")
+def test_steps_do_not_fault_their_memory_in_anew():
+    p = attention.initial(attention.Shape(52, 52), np.zeros(52), np.zeros((52, 52)))
+    x = np.random.default_rng(1).integers(0, 52 * 52, (64 * 20, attention.WINDOW))
+    fit = lambda: attention.fit(p, x, x, np.ones(x.shape, bool), 52, 1e-3, 1, 5)
+    fit()
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    fit()
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before < 20 * 300
