@@ -67,12 +67,12 @@ CHUNK = (
 
 
 def arrays(batch: pa.RecordBatch, row: int) -> dict:
-    """One chunk's columns as numpy arrays (binary) or lists."""
+    """One chunk's columns as numpy arrays (binary, not copied) or lists."""
     kinds = {"train": "<i8", "units": "<u4", "unit_ends": "<i8", "offsets": "<i8", "tokens": "<i4"}
     out = {}
     for name in batch.schema.names:
         value = batch.column(batch.schema.get_field_index(name))[row]
-        out[name] = np.frombuffer(value.as_py(), kinds[name]) if name in kinds else value
+        out[name] = np.frombuffer(value.as_buffer(), kinds[name]) if name in kinds else value
     return out
 
 
@@ -377,6 +377,14 @@ def _model_row(model: attention.Params, n: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)], "n": pa.array([n], pa.int64())})
 
 
+def rare_shares(chunk: dict, extra: np.ndarray) -> np.ndarray:
+    """Of each text, the sum over its units of their shares in the last slot."""
+    lengths = np.diff(chunk["unit_ends"], prepend=0)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    rare = np.bincount(owner, weights=extra[chunk["units"]], minlength=len(lengths))
+    return np.diff(np.append(0, np.cumsum(rare[chunk["tokens"]]))[chunk["offsets"]])
+
+
 def model_scores(parts: DataFrame, units: Units, model: attention.Params) -> DataFrame:
     """(chunk, row, score): log10 probability of every text."""
     sent = parts.sparkSession.sparkContext.broadcast((model, units.place, units.extra))
@@ -389,11 +397,7 @@ def model_scores(parts: DataFrame, units: Units, model: attention.Params) -> Dat
             for row in range(batch.num_rows):
                 chunk = arrays(batch, row)
                 n = len(chunk["offsets"]) - 1
-                lengths = np.diff(chunk["unit_ends"], prepend=0)
-                owner = np.repeat(np.arange(len(lengths)), lengths)
-                rare = np.bincount(owner, weights=extra[chunk["units"]], minlength=len(lengths))
-                sums = np.append(0, np.cumsum(rare[chunk["tokens"]]))[chunk["offsets"]]
-                out = np.diff(sums)
+                out = rare_shares(chunk, extra)
                 for k in range(0, n, PORTION):
                     rows = np.arange(k, min(n, k + PORTION))
                     out[rows] += scorer.score(sequences(chunk, place, rows))
