@@ -2,6 +2,7 @@
 
 import re
 from pathlib import Path
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from orderlake.plans.silver_orders import keyed_silver_lines, silver_lines
 from orderlake.schemas import ORDER_LINE_KEYS, order_schema
 from orderlake.sinks.tables import guarded
 from orderlake.sources.documents import RECORD, read_checked_documents
+from orderlake.sources.landing import land_new_days
 from tests.test_plans import document, entry, promotion
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -97,3 +99,72 @@ def test_joined_documents_are_built_once(spark):
     for side in transforms._entries_and_promotions(spark, SF_DIR):
         files = side.inputFiles()
         assert files and all("order-documents" in f for f in files)
+
+
+def plans_of(spark, work):
+    """What `work` gives, and the executed plan of each query that it ran."""
+    found, store = [], spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    result = work()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    executions = store.executionsList(int(before), int(store.executionsCount() - before))
+    found = [executions.apply(i).physicalPlanDescription() for i in range(executions.size())]
+    return result, found
+
+
+def test_documents_come_to_the_days_from_their_flat_rows(spark):
+    """Whole documents are neither written nor shuffled on their way to the landing folder."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        documents = jobs._documents_once(spark, SF_DIR)
+        assert {"once", "code", "entries"} < set(documents.columns)
+        assert all("document-rows" in f for f in documents.inputFiles())
+        _, plans = plans_of(spark, lambda: jobs._two_days(documents))
+    finally:
+        spark.conf.set(threshold, before)
+    assert len(plans) == 2 and not any("Exchange" in p or "Join" in p for p in plans)
+
+
+def test_orders_whose_lines_share_number_and_product_are_marked(spark, tmp_path):
+    for name in ("region", "nation", "customer", "orders"):
+        shop.table(spark, SF_DIR, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    orders = [r[0] for r in shop.table(spark, SF_DIR, "orders").select("o_orderkey").orderBy("o_orderkey").limit(4).collect()]
+    line = shop.table(spark, SF_DIR, "lineitem").limit(1)
+    lines = [(orders[0], 1, 5, 7, "N"), (orders[0], 1, 5, 8, "N"), (orders[1], 1, 5, 7, "R"), (orders[1], 1, 6, 7, "R")]
+    lines += [(orders[2], 1, 5, 7, "R"), (orders[2], 1, 6, 7, "N"), (None, 1, 5, 7, "N"), (None, 1, 5, 7, "N")]
+    new = spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_returnflag string")
+    line.drop(*new.columns).crossJoin(new).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = jobs._documents_once(spark, str(tmp_path)).select("code", "once").distinct().collect()
+    marked = {r.code for r in found if not r.once}
+    assert marked == {f"O{orders[0]}", f"O{orders[1]}"} and len(found) > 4
+
+
+def test_new_days_are_copied_without_a_shuffle(spark, tmp_path):
+    for day in ("2024-01-05", "2024-01-06"):
+        Path(tmp_path, "orders", day).mkdir(parents=True)
+        Path(tmp_path, "orders", day, "a.json").write_text('{"code":"O1"}\nno document')
+    copy, table = str(tmp_path / "copy"), f"size_tests.t_{uuid4().hex}"
+    days, plans = plans_of(spark, lambda: land_new_days(spark, str(tmp_path), "orders", copy, table))
+    written = [p for p in plans if "Scan json" in p and "WriteFiles" in p]
+    assert len(days) == len(written) == 2 and not any("Exchange" in p or "Sort" in p for p in written)
+    rows = spark.table(table).select("code", "landing_day", RECORD).collect()
+    assert {tuple(r) for r in rows} == {x for day in days for x in (("O1", day, None), (None, day, "no document"))}
+
+
+def test_faulty_lines_are_built_once_and_not_written_anew_when_read(spark):
+    lines = jobs._with_faults(jobs._lines(shop.documents(spark, SF_DIR)))
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation" in line and "l_orderkey" in line for line in plan.split("\n")) == 2  # lines, and orders that have any
+    read = jobs.scan_json_bad_documents(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in read and "structstojson" not in read.lower()
+
+
+def test_a_schema_can_be_used_for_several_reads(spark, tmp_path):
+    schema = order_schema()
+    Path(tmp_path, "a.json").write_text('{"code":"O1"}\n{"code":"O2","entries":[{"entryNumber":"1"}]}')
+    for _ in range(2):
+        found = read_checked_documents(spark, str(tmp_path / "a.json"), schema)
+        assert found.filter(F.col(RECORD).isNotNull()).count() == 1
+    assert len(schema.fields) == 40
