@@ -103,13 +103,16 @@ def test_joined_documents_are_built_once(spark):
 
 def plans_of(spark, work):
     """What `work` gives, and the executed plan of each query that it ran."""
-    found, store = [], spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+
+    def ran():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        kept = spark._jsparkSession.sharedState().statusStore().executionsList()  # old ones are dropped from it
+        kept = [kept.apply(i) for i in range(kept.size())]
+        return {e.executionId(): e.physicalPlanDescription() for e in kept}
+
+    before = max(ran(), default=-1)
     result = work()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    executions = store.executionsList(int(before), int(store.executionsCount() - before))
-    found = [executions.apply(i).physicalPlanDescription() for i in range(executions.size())]
-    return result, found
+    return result, [plan for number, plan in sorted(ran().items()) if number > before]
 
 
 def test_documents_come_to_the_days_from_their_flat_rows(spark):
